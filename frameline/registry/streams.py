@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from frameline import scratch_dir
 from frameline.fixtures import EVENT_NOW, cte
-from frameline.operators import inventory
 from frameline.operators import jobs as J
 from frameline.registry import query
 from frameline.registry.jobs import KEYS, VIDEO, tagged, ts
@@ -81,21 +81,16 @@ RUNS = """b AS (SELECT name || '/' || phase AS alarm_key, period_start, stat_val
 c AS (SELECT *, lag(state, 1, 'OK') OVER (PARTITION BY alarm_key ORDER BY period_start) AS before FROM s)"""
 
 
-@query("streaming_alarms", "T07", f"{cte('metrics', stats=stats_sql('360 MINUTE', 'avg', 'name, phase') + f' HAVING time_bucket(INTERVAL 360 MINUTE, ts) + INTERVAL 360 MINUTE <= {CLOSED}')}, {RUNS} SELECT alarm_key, period_start, state FROM c WHERE state <> before")
+@query("streaming_alarms", "T07", f"{cte('metrics', stats=f"SELECT * FROM ({stats_sql('360 MINUTE', 'avg', 'name, phase')}) g WHERE period_start + INTERVAL 360 MINUTE <= {CLOSED}")}, {RUNS} SELECT alarm_key, period_start, state FROM c WHERE state <> before")
 def _(t):
+    folder = scratch_dir(t.spark, "alarmstats")
     stats = W.stream_stats(event_time(t.stream("metrics")), "6 hours", "Average", ["name", "phase"])
-    run_to_table(t.spark, stats, "alarmstats", path=(folder := scratch(t, "alarmstats")))
+    run_to_table(t.spark, stats, "alarmstats", path=folder)
     closed = t.spark.readStream.schema(stats.schema).parquet(f"{folder}/rows")
     alarms = S.streaming_alarms(closed, F.concat_ws("/", "name", "phase"), F.col("stat_value") > 20, 21600, 2)
     return plain(run_to_table(t.spark, alarms, "alarms"))
 
 
-def scratch(t, purpose):
-    from frameline import scratch_dir
-
-    return scratch_dir(t.spark, purpose)
-
-
 SPANS = f"""a AS (SELECT resource_id, time_bucket(INTERVAL 5 MINUTE, ts) AS p, avg(value) AS average FROM metrics WHERE name = 'CPUUtilization' GROUP BY ALL),
 e AS (SELECT resource_id, average, time_bucket(INTERVAL 15 MINUTE, p) - k * INTERVAL 15 MINUTE AS span_start FROM a, range(0, 2) r(k)),
 s AS (SELECT resource_id, span_start, span_start + INTERVAL 30 MINUTE AS span_end, round(max(average), 8) AS max_average, count(*) AS periods FROM e GROUP BY ALL)"""
@@ -127,7 +122,7 @@ def _(t):
 def _(t):
     seen = t.stream_raw("lineitem").selectExpr("'job-' || cast(l_orderkey AS string) AS job_id", "l_linenumber AS n", "l_shipdate AS ts")
     once = S.distinct_frames(event_time(seen), "36500 days")
-    folder = scratch(t, "distinct")
+    folder = scratch_dir(t.spark, "distinct")
     run_to_table(t.spark, once.select("job_id", "n"), "distinct", path=folder)
     frames = t.spark.readStream.schema("job_id string, n int").parquet(f"{folder}/rows")
     totals = t.raw("orders").selectExpr("'job-' || cast(o_orderkey AS string) AS job_id", "cast(1 + o_orderkey % 4 AS bigint) AS total")
@@ -135,7 +130,7 @@ def _(t):
 
 
 @query("audit_alarms", "T11", f"""{cte('audit')}, h AS (SELECT ts, 'unauthorized' AS finding FROM audit WHERE error_code IS NOT NULL UNION ALL SELECT ts, 'root_use' FROM audit WHERE user_type = 'Root' AND invoked_by IS NULL AND event_kind <> 'AwsServiceEvent' UNION ALL SELECT ts, 'policy_change' FROM audit WHERE event_name = 'AttachRolePolicy')
-SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS period_start, finding, count(*) AS findings, CASE WHEN count(*) >= 1 THEN 'ALARM' ELSE 'OK' END AS state FROM h GROUP BY ALL HAVING period_start + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM h) - INTERVAL 10 MINUTE""")
+SELECT * FROM (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS period_start, finding, count(*) AS findings, CASE WHEN count(*) >= 1 THEN 'ALARM' ELSE 'OK' END AS state FROM h GROUP BY 1, 2) g WHERE period_start + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM h) - INTERVAL 10 MINUTE""")
 def _(t):
     return plain(run_to_table(t.spark, E.audit_findings(event_time(t.stream("audit"))), "audit"))
 
@@ -146,5 +141,3 @@ def _(t):
     found = E.incremental_orphans(t.stream_raw("lineitem").selectExpr(columns), t("jobs"))
     return run_to_table(t.spark, found.select("job_id", "key"), "orphans").distinct()
 
-
-__all__ = ["inventory"]

@@ -1,6 +1,6 @@
 """Keyed state: dead letters, the job state machine, alarms over periods in a row, completion.
 
-Each processor reads its key's new rows as a stream of Arrow chunks and keeps a value of fixed size, so a hot
+Each function reads its key's new rows as a stream of Arrow chunks and keeps a value of fixed size, so a hot
 key needs time but not memory. Results do not depend on the order of rows inside a batch.
 """
 
@@ -11,41 +11,46 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState
 
 from frameline.streaming.run import use_rocksdb
 
 STAGES = ("extract", "process", "recompose")
-# Days a queue keeps a message.
-RETENTION_DAYS = 4
 
 
-class _Receives(StatefulProcessor):
-    """Counts receives; gives the message out once, when the count first passes the limit."""
+def _keyed(df: DataFrame, key: str, function, output: str, state: str, timeout: str = "NoTimeout") -> DataFrame:
+    use_rocksdb(df.sparkSession)
+    return df.groupBy(key).applyInPandasWithState(function, output, state, "append", timeout)
 
-    def __init__(self, limit: int):
-        self.limit = limit
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.count = handle.getValueState("receives", "n bigint", ttlDurationMs=RETENTION_DAYS * 86_400_000)
+def dead_letters(receives: DataFrame, limit: int = 5, retention_days: int | None = None) -> DataFrame:
+    """Messages received more than ``limit`` times (5 receives are allowed), each given out once.
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        before = self.count.get()[0] if self.count.exists() else 0
-        after = before + sum(len(chunk) for chunk in rows)
-        self.count.update((after,))
-        if before <= self.limit < after:
-            yield pd.DataFrame({"message_id": [key[0]]})
-
-    def close(self) -> None:
-        pass
+    With ``retention_days`` (the queue keeps a message for 4 days) the stream needs a watermark on ``ts``, and a
+    message is forgotten that long after its last receive. Processing-time timers are not used: they would keep
+    an available-now run from ever ending.
+    """
+    keep_ms = None if retention_days is None else retention_days * 86_400_000
 
+    def count(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        before, last = state.get if state.exists else (0, 0)
+        after = before
+        for chunk in rows:
+            after += len(chunk)
+            last = max(last, int(chunk["at"].max()))
+        state.update((after, last))
+        if keep_ms is not None:
+            state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + keep_ms)
+        if before <= limit < after:
+            yield pd.DataFrame({"message_id": [key[0]]})
 
-def dead_letters(receives: DataFrame, limit: int = 5) -> DataFrame:
-    """Messages received more than ``limit`` times (at most 5 receives are allowed)."""
-    use_rocksdb(receives.sparkSession)
-    return receives.select("message_id").groupBy("message_id").transformWithStateInPandas(
-        statefulProcessor=_Receives(limit), outputStructType="message_id string", outputMode="Append", timeMode="ProcessingTime"
-    )
+    at = F.unix_millis(F.col("ts").cast("timestamp"))
+    rows = receives.select("message_id", *([] if keep_ms is None else ["ts"]), at.alias("at"))
+    timeout = "NoTimeout" if keep_ms is None else "EventTimeTimeout"
+    return _keyed(rows, "message_id", count, "message_id string", "n bigint, last bigint", timeout)
 
 
 def job_states_batch(changes: DataFrame) -> DataFrame:
@@ -72,79 +77,42 @@ def _verdict(firsts: DataFrame) -> DataFrame:
     return firsts.select("job_id", state.alias("state"))
 
 
-class _Machine(StatefulProcessor):
-    """Keeps the first COMPLETED and FAILED time per stage; gives out the end state of a job once."""
+def job_state_machine(changes: DataFrame) -> DataFrame:
+    """Jobs that reached an end (all stages done, or a stage failed before it was done), each once.
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        columns = ", ".join(f"{s}_{x} double" for s in STAGES for x in ("done", "failed"))
-        self.firsts = handle.getValueState("firsts", f"{columns}, ended boolean")
+    The state of a job is the first COMPLETED and first FAILED time of every stage.
+    """
+    slots = [(s, x) for s in STAGES for x in ("COMPLETED", "FAILED")]
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        held = list(self.firsts.get()) if self.firsts.exists() else [None] * (2 * len(STAGES)) + [False]
-        if held[-1]:
-            for _ in rows:
-                pass
-            return
+    def advance(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        *held, ended = state.get if state.exists else (*[None] * len(slots), False)
         for chunk in rows:
-            at = chunk["at"].to_numpy()
-            for i, s in enumerate(STAGES):
-                for j, status in enumerate(("COMPLETED", "FAILED")):
-                    hit = at[((chunk["stage"] == s) & (chunk["status"] == status)).to_numpy()]
-                    if hit.size:
-                        old = held[2 * i + j]
-                        held[2 * i + j] = float(hit.min() if old is None else min(old, hit.min()))
+            if ended:
+                continue
+            first = chunk.groupby(["stage", "status"])["at"].min()
+            for i, slot in enumerate(slots):
+                if slot in first.index:
+                    at = float(first[slot])
+                    held[i] = at if held[i] is None else min(held[i], at)
+        if ended:
+            return
         end = "COMPLETED"
-        for i, s in enumerate(STAGES):
+        for i, stage in enumerate(STAGES):
             done, failed = held[2 * i], held[2 * i + 1]
             if failed is not None and (done is None or failed < done):
-                end = f"{s}_failed"
+                end = f"{stage}_failed"
                 break
             if done is None:
                 end = None
                 break
-        held[-1] = end is not None
-        self.firsts.update(tuple(held))
+        state.update((*held, end is not None))
         if end is not None:
             yield pd.DataFrame({"job_id": [key[0]], "state": [end]})
 
-    def close(self) -> None:
-        pass
-
-
-def job_state_machine(changes: DataFrame) -> DataFrame:
-    """Jobs that reached an end (all stages done, or a stage failed before it was done), each once."""
-    use_rocksdb(changes.sparkSession)
-    needed = changes.filter(F.col("status").isin("COMPLETED", "FAILED")).select("job_id", "stage", "status", F.unix_micros(F.col("ts").cast("timestamp")).cast("double").alias("at"))
-    return needed.groupBy("job_id").transformWithStateInPandas(
-        statefulProcessor=_Machine(), outputStructType="job_id string, state string", outputMode="Append", timeMode="None"
-    )
-
-
-class _Run(StatefulProcessor):
-    """Length of the current run of breaching periods; gives out every change of the alarm state."""
-
-    def __init__(self, period_seconds: int, periods: int):
-        self.period, self.periods = period_seconds, periods
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.run = handle.getValueState("run", "at bigint, length int, alarm boolean")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        at, length, alarm = self.run.get() if self.run.exists() else (None, 0, False)
-        periods = pd.concat(list(rows)).sort_values("at")
-        out = []
-        for now, breach in zip(periods["at"].tolist(), periods["breach"].tolist()):
-            unbroken = at is not None and now == at + self.period
-            length = (length + 1 if unbroken else 1) if breach else 0
-            at, before, alarm = now, alarm, length >= self.periods
-            if alarm != before:
-                out.append((key[0], now, "ALARM" if alarm else "OK"))
-        self.run.update((at, length, alarm))
-        if out:
-            yield pd.DataFrame(out, columns=["alarm_key", "at", "state"])
-
-    def close(self) -> None:
-        pass
+    at = F.unix_micros(F.col("ts").cast("timestamp")).cast("double")
+    needed = changes.filter(F.col("status").isin("COMPLETED", "FAILED")).select("job_id", "stage", "status", at.alias("at"))
+    columns = ", ".join(f"{s}_{x} double" for s, x in slots)
+    return _keyed(needed, "job_id", advance, "job_id string, state string", f"{columns}, ended boolean")
 
 
 def streaming_alarms(stats: DataFrame, key: Column, breach: Column, period_seconds: int, periods: int) -> DataFrame:
@@ -153,44 +121,41 @@ def streaming_alarms(stats: DataFrame, key: Column, breach: Column, period_secon
     A key's rows are one per period, so even a whole history in one batch is small. Periods of a key must
     not come in an earlier batch than periods before them, which holds for closed windows.
     """
-    use_rocksdb(stats.sparkSession)
-    rows = stats.select(key.alias("alarm_key"), F.unix_seconds(F.col("period_start").cast("timestamp")).alias("at"), F.coalesce(breach, F.lit(False)).alias("breach"))
-    changes = rows.groupBy("alarm_key").transformWithStateInPandas(
-        statefulProcessor=_Run(period_seconds, periods), outputStructType="alarm_key string, at bigint, state string", outputMode="Append", timeMode="None"
-    )
+    def follow(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        at, length, alarm = state.get if state.exists else (None, 0, False)
+        every = pd.concat(list(rows)).sort_values("at")
+        out = []
+        for now, hit in zip(every["at"].tolist(), every["breach"].tolist()):
+            unbroken = at is not None and now == at + period_seconds
+            length = (length + 1 if unbroken else 1) if hit else 0
+            at, before, alarm = now, alarm, length >= periods
+            if alarm != before:
+                out.append((key[0], now, "ALARM" if alarm else "OK"))
+        state.update((at, length, alarm))
+        yield pd.DataFrame(out, columns=["alarm_key", "at", "state"])
+
+    at = F.unix_seconds(F.col("period_start").cast("timestamp"))
+    rows = stats.select(key.alias("alarm_key"), at.alias("at"), F.coalesce(breach, F.lit(False)).alias("breach"))
+    changes = _keyed(rows, "alarm_key", follow, "alarm_key string, at bigint, state string", "at bigint, length int, alarm boolean")
     return changes.select("alarm_key", F.timestamp_seconds("at").alias("period_start"), "state")
 
 
-class _Progress(StatefulProcessor):
-    """Counts frames of a job and gives the job out once, when the count reaches its total."""
+def distinct_frames(frames: DataFrame, horizon: str, time: str = "ts") -> DataFrame:
+    """Each (job, frame) once within the horizon; the state is spread by job and frame."""
+    return frames.withWatermark(time, horizon).dropDuplicatesWithinWatermark(["job_id", "n"])
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.count = handle.getValueState("frames", "n bigint, done boolean")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        n, done = self.count.get() if self.count.exists() else (0, False)
-        total = None
+def progress_stream(frames: DataFrame, jobs: DataFrame) -> DataFrame:
+    """Completion signal per job, once, from a stream of distinct frames and a static ``job_id, total`` table."""
+    def count(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        n, total, done = state.get if state.exists else (0, None, False)
         for chunk in rows:
             n += len(chunk)
             total = int(chunk["total"].iloc[0])
-        ready = not done and total is not None and n >= total
-        self.count.update((n, done or ready))
+        ready = not done and n >= total
+        state.update((n, total, done or ready))
         if ready:
             yield pd.DataFrame({"job_id": [key[0]], "total": [total]})
 
-    def close(self) -> None:
-        pass
-
-
-def distinct_frames(frames: DataFrame, horizon: str, time: str = "ts") -> DataFrame:
-    """Each (job, frame) once within the horizon; the state is spread by job and frame."""
-    return frames.withWatermark(time, horizon).dropDuplicatesWithinWatermark(["job_id", "n"])
-
-
-def progress_stream(frames: DataFrame, jobs: DataFrame) -> DataFrame:
-    """Completion signal per job from a stream of distinct frames and a static ``job_id, total`` table."""
-    use_rocksdb(frames.sparkSession)
-    known = frames.select("job_id", "n").join(jobs.select("job_id", "total"), "job_id")
-    return known.groupBy("job_id").transformWithStateInPandas(
-        statefulProcessor=_Progress(), outputStructType="job_id string, total bigint", outputMode="Append", timeMode="None"
-    )
+    known = frames.select("job_id", "n").join(jobs.select("job_id", "total"), "job_id").select("job_id", "total")
+    return _keyed(known, "job_id", count, "job_id string, total bigint", "n bigint, total bigint, done boolean")
