@@ -12,6 +12,11 @@ def rounded(df, digits=6):
     return df.withColumn("v", F.round("v", digits))
 
 
+def rounded_off_ties(df):
+    """Resampled values are often exact halves of the last digit, which rounding noise would decide."""
+    return df.withColumn("v", F.round(F.col("v") + F.lit(1e-9), 6))
+
+
 def gather(base: str, height: str, width: str, y: str, x: str, c: str = "0", channels: str = "1", v: str = "s.v") -> str:
     """SQL: every target pixel takes the source pixel at (y, x, c), given as formulas over target ty, tx, tc."""
     return f"""t AS (SELECT image_id, cast(ty AS int) AS y, cast(tx AS int) AS x, cast(tc AS int) AS c, {y} AS sy, {x} AS sx, {c} AS sc
@@ -135,6 +140,6 @@ LANCZOS = """taps AS (SELECT cast(i AS int) AS i, cast(least(greatest(floor(p) +
 wt AS (SELECT i, s, sum(u) / (SELECT sum(u) FROM taps b WHERE b.i = a.i) AS w FROM taps a GROUP BY i, s)"""
 
 
-@query("resize_to", "I15", f"{cte('pixels')}, {LANCZOS} SELECT image_id, a.i AS y, b.i AS x, c, round(sum(a.w * b.w * v), 6) AS v FROM pixels p JOIN wt a ON a.s = p.y JOIN wt b ON b.s = p.x GROUP BY ALL")
+@query("resize_to", "I15", f"{cte('pixels')}, {LANCZOS} SELECT image_id, a.i AS y, b.i AS x, c, round(sum(a.w * b.w * v) + 1e-9::double, 6) AS v FROM pixels p JOIN wt a ON a.s = p.y JOIN wt b ON b.s = p.x GROUP BY ALL")
 def _(t):
-    return rounded(to_pixels(M.resize_to(t.images().withColumn("orig_h", F.col("h")).withColumn("orig_w", F.col("w")), 0.75)))
+    return rounded_off_ties(to_pixels(M.resize_to(t.images().withColumn("orig_h", F.col("h")).withColumn("orig_w", F.col("w")), 0.75)))

@@ -83,7 +83,8 @@ def main() -> int:
                 print(f"COLS  {name}: {sorted(ours.columns)} vs {sorted(theirs.columns)}")
             elif a != b:
                 bad.append(name)
-                extra, missing = [r for r in a if r not in set(b)][:3], [r for r in b if r not in set(a)][:3]
+                sa, sb = set(a), set(b)
+                extra, missing = [r for r in a if r not in sb][:3], [r for r in b if r not in sa][:3]
                 print(f"DIFF  {name}: {len(a)} vs {len(b)} rows\n  cols {sorted(ours.columns)}\n  only ours {extra}\n  only sql  {missing}")
             else:
                 spark_types = dict(df.dtypes)
