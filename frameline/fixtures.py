@@ -170,6 +170,7 @@ class Tables:
     """The driver tables of one folder and everything derived from them."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        spark.conf.set("spark.sql.session.timeZone", "UTC")  # the tables hold zone-less UTC times
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
 

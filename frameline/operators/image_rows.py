@@ -94,6 +94,14 @@ def map_images(images: DataFrame, function: Callable[..., np.ndarray], keep: Seq
     return expand_images(images, lambda img, p: (((), function(img, **p)),), keep, params)
 
 
+def spread(images: DataFrame, tasks: int) -> DataFrame:
+    """At least ``tasks`` partitions for work that costs far more than reading, such as degradation.
+
+    Stored images with enough splits pass unchanged; only a small input is shuffled.
+    """
+    return images if images.rdd.getNumPartitions() >= tasks else images.repartition(tasks, "image_id")
+
+
 def to_pixels(images: DataFrame, *keep: str) -> DataFrame:
     """Pixel table ``(image_id, keep..., y, x, c, v)``."""
     at = images.select("image_id", *keep, F.col("w").alias("_w"), F.col("c").alias("_c"), F.posexplode("data").alias("_i", "v"))

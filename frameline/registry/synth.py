@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from frameline.fixtures import cte
 from frameline.operators import images as M
 from frameline.operators import synth as S
-from frameline.operators.image_rows import to_pixels
+from frameline.operators.image_rows import spread, to_pixels
 from frameline.registry import query
 from frameline.registry.images import gather, rounded, rounded_off_ties
 
@@ -117,16 +117,19 @@ def _(t):
     return rounded(to_pixels(S.add_noise(unit(t))))
 
 
+def large(t):
+    scaled = t.images().withColumn("data", F.transform("data", lambda v: v / 255))
+    return M.upsample_nearest(spread(scaled, t.spark.sparkContext.defaultParallelism), 4)
+
+
 @query("degrade", "D06 D07 D03 D04 D05")
 def _(t):
-    large = M.upsample_nearest(t.images().withColumn("data", F.transform("data", lambda v: v / 255)), 4)
-    return rounded(to_pixels(S.degrade(S.draw_params(large))))
+    return rounded(to_pixels(S.degrade(S.draw_params(large(t)))))
 
 
 @query("degrade_unsharpened", "D12")
 def _(t):
-    large = M.upsample_nearest(t.images().withColumn("data", F.transform("data", lambda v: v / 255)), 4)
-    return rounded(to_pixels(S.degrade(S.draw_params(large), gt_usm=False)))
+    return rounded(to_pixels(S.degrade(S.draw_params(large(t)), gt_usm=False)))
 
 
 def sides(t):
