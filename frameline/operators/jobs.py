@@ -73,7 +73,8 @@ def make_jobs(uploads: DataFrame, heads: DataFrame | None, now: Column, job_id:
     videos = filter_videos(uploads.filter(F.col("status_code") == 200))
     if heads is not None:
         found = heads.select("bucket", "key", "content_length", "content_type")
-        videos = videos.join(found, ["bucket", "key"], "left")
+        keys = ["bucket", "key"]
+        videos = videos.join(found, keys, "left") if videos.isStreaming else salted_join(videos, found, keys, "left")
     else:
         videos = videos.withColumn("content_length", F.lit(None).cast("long")).withColumn("content_type", F.lit(None).cast("string"))
     zero = F.lit(0).cast("long")

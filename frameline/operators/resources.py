@@ -84,10 +84,9 @@ def without_jobs_containing(endpoints: DataFrame, jobs: DataFrame) -> DataFrame:
     Every substring as long as some endpoint name is a candidate, so the text is cut into the lengths that
     occur (at most a few) and compared by equality instead of testing every pair.
     """
-    lengths = endpoints.agg(F.array_sort(F.collect_set(F.length("endpoint_name"))).alias("_lengths"))
+    lengths = endpoints.agg(F.collect_set(F.length("endpoint_name")).alias("_lengths")).scalar()
     live = jobs.filter(F.col("status").isin("PROCESSING", "INITIATED")).select("endpoints").distinct()
-    sized = live.join(F.broadcast(lengths))
-    each = sized.select("endpoints", F.explode("_lengths").alias("_n")).filter(F.length("endpoints") >= F.col("_n"))
+    each = live.withColumn("_lengths", lengths).select("endpoints", F.explode("_lengths").alias("_n")).filter(F.length("endpoints") >= F.col("_n"))
     start = F.explode(F.sequence(F.lit(1), F.length("endpoints") - F.col("_n") + 1))
     parts = each.select("endpoints", "_n", start.alias("_i")).select(F.col("endpoints").substr(F.col("_i"), F.col("_n")).alias("endpoint_name"))
     return endpoints.join(parts.distinct(), "endpoint_name", "left_anti")
@@ -111,16 +110,16 @@ def leak_report(volumes: DataFrame, snapshots: DataFrame) -> DataFrame:
 
     Inputs are deletion results with ``error`` (null when deleted); only their totals are joined.
     """
-    def totals(df: DataFrame, name: str) -> DataFrame:
+    def totals(df: DataFrame) -> DataFrame:
         ok = F.col("error").isNull()
-        return df.agg(F.count(F.lit(1)).alias(f"{name}_total"), F.count_if(ok).alias(f"{name}_deleted"), F.count_if(~ok).alias(f"{name}_errors"))
+        return df.agg(F.struct(F.count(F.lit(1)).alias("total"), F.count_if(ok).alias("deleted"), F.count_if(~ok).alias("errors")).alias("t"))
 
-    both = totals(volumes, "v").join(F.broadcast(totals(snapshots, "s")))
+    both = totals(volumes).select(F.col("t").alias("v"), totals(snapshots).scalar().alias("s"))
     text = (
         "Resource Leak Monitoring Report\n\nOrphaned Volumes:\n- Total found: %d\n- Successfully deleted: %d\n- Errors: %d\n\n"
         "Orphaned Snapshots:\n- Total found: %d\n- Successfully deleted: %d\n- Errors: %d\n\nFor more details, please check the logs.\n"
     )
-    return both.filter((F.col("v_deleted") > 0) | (F.col("s_deleted") > 0)).select(
-        F.format_string("Resource Leak Cleanup: %d volumes, %d snapshots", "v_deleted", "s_deleted").alias("subject"),
-        F.format_string(text, "v_total", "v_deleted", "v_errors", "s_total", "s_deleted", "s_errors").alias("message"),
+    return both.filter((F.col("v.deleted") > 0) | (F.col("s.deleted") > 0)).select(
+        F.format_string("Resource Leak Cleanup: %d volumes, %d snapshots", "v.deleted", "s.deleted").alias("subject"),
+        F.format_string(text, "v.total", "v.deleted", "v.errors", "s.total", "s.deleted", "s.errors").alias("message"),
     )

@@ -14,14 +14,25 @@ from pyspark.sql import functions as F
 SALTS = 16
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Catalyst's own size estimate of ``df`` is within the session's broadcast threshold."""
+    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    plan = df._jdf.queryExecution().optimizedPlan()
+    return int(str(plan.stats().sizeInBytes())) <= int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit))
+
+
 def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", salts: int = SALTS) -> DataFrame:
     """Join where a key of ``big`` may repeat without bound and ``small`` has few rows per key.
 
-    Rows of ``big`` with the same key are spread over ``salts`` groups and ``small`` is repeated once per
-    group, so both sides stay complete. ``how`` keeps ``big`` on the left: inner, left, left_semi, left_anti.
+    A ``small`` within the broadcast threshold is joined as it is: nothing of ``big`` moves, so keys do not
+    matter. Otherwise rows of ``big`` with the same key are spread over ``salts`` groups and ``small`` is
+    repeated once per group; adaptive skew splitting works on top of that. Both sides stay complete.
+    ``how`` keeps ``big`` on the left: inner, left, left_semi, left_anti.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join type {how} would repeat the right side")
+    if fits_broadcast(small):
+        return big.join(small, list(on), how)
     left = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int"))
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [*on, "_salt"], how).drop("_salt")

@@ -166,3 +166,19 @@ def test_nothing_evaluated_is_compliant(spark):
     none = spark.createDataFrame([("r", "x", "INSUFFICIENT_DATA")], "rule_name string, resource_id string, compliance_type string")
     assert audit.compliance_overall(none).first().percent == 100.0
     assert tuple(audit.compliance_by_rule(none).first()) == ("r", 0, 0)
+
+
+def test_retention_filter_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "jobs")
+    job(spark, ("j1", "COMPLETED", NOW - timedelta(days=10), "")).write.parquet(path)
+    kept = inventory.completed_before(spark.read.parquet(path), now(), 7).select("job_id")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters"):]
+    assert "EqualTo(status,COMPLETED)" in pushed and "LessThan(updated_at" in pushed
+    assert "endpoints" not in plan and kept.count() == 1
+
+
+def test_attempts_are_cut_before_the_shuffle(spark):
+    tries = spark.createDataFrame([(1, 1, False)], "frame_id int, seq int, ok boolean")
+    plan = frames.retry_outcome(tries, ["seq"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2

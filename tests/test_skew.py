@@ -16,11 +16,16 @@ def rows():
     return hot + [(f"k{rng.randrange(40)}", n) for n in rng.sample(range(5000), 300)] + [(None, 5), (None, 900)]
 
 
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_plain_join(spark, rows, how):
+def test_salted_join_equals_plain_join(spark, rows, how, threshold, request):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     big = spark.createDataFrame(rows, "k string, n int")
-    small = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3)], "k string, v int")
+    small = spark.sql("SELECT * FROM VALUES ('hot', 1), ('k1', 2), ('k2', 3) AS t(k, v)")
     plain, salted = big.join(small, "k", how), salted_join(big, small, ["k"], how)
+    assert ("_salt" in salted._jdf.queryExecution().analyzed().toString()) == (threshold == "-1")
     assert sorted(map(str, plain.collect())) == sorted(map(str, salted.collect()))
 
 
@@ -53,3 +58,13 @@ def test_expand_range_long_short_and_empty(spark):
     df = spark.createDataFrame([("a", 10_000), ("b", 1), ("c", 0), ("d", 4096)], "k string, total long")
     got = expand_range(df, F.lit(1), F.col("total"), "n", ["k"]).groupBy("k").agg(F.count("n"), F.min("n"), F.max("n"), F.count_distinct("n"))
     assert {tuple(r) for r in got.collect()} == {("a", 10_000, 1, 10_000, 10_000), ("b", 1, 1, 1, 1), ("d", 4096, 1, 4096, 4096)}
+
+
+def test_no_salt_replaces_a_plan_without_pairs(spark, rows, request):
+    """Large sides are shuffled by key and salt, never compared pair by pair."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    big = spark.createDataFrame(rows, "k string, n int")
+    plan = salted_join(big, big.select("k").distinct(), ["k"], "left_anti")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
