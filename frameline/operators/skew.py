@@ -17,8 +17,10 @@ SALTS = 16
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether Catalyst's own size estimate of ``df`` is within the session's broadcast threshold."""
     limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    plan = df._jdf.queryExecution().optimizedPlan()
-    return int(str(plan.stats().sizeInBytes())) <= int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit))
+    if limit.startswith("-"):
+        return False
+    allowed = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= allowed
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", salts: int = SALTS) -> DataFrame:
