@@ -115,6 +115,7 @@ def leak_report(volumes: DataFrame, snapshots: DataFrame) -> DataFrame:
         return df.agg(F.struct(F.count(F.lit(1)).alias("total"), F.count_if(ok).alias("deleted"), F.count_if(~ok).alias("errors")).alias("t"))
 
     both = totals(volumes).select(F.col("t").alias("v"), totals(snapshots).scalar().alias("s"))
+    # Wording of the notice.
     text = (
         "Resource Leak Monitoring Report\n\nOrphaned Volumes:\n- Total found: %d\n- Successfully deleted: %d\n- Errors: %d\n\n"
         "Orphaned Snapshots:\n- Total found: %d\n- Successfully deleted: %d\n- Errors: %d\n\nFor more details, please check the logs.\n"

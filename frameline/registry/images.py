@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from frameline.fixtures import cte
 from frameline.operators import images as M
 from frameline.operators.image_rows import to_pixels
+from frameline.operators.infer import nearest_predict
+from frameline.plans.upscale import upscale
 from frameline.registry import query
 
 
@@ -143,3 +145,10 @@ wt AS (SELECT i, s, sum(u) / (SELECT sum(u) FROM taps b WHERE b.i = a.i) AS w FR
 @query("resize_to", "I15", f"{cte('pixels')}, {LANCZOS} SELECT image_id, a.i AS y, b.i AS x, c, round(sum(a.w * b.w * v) + 1e-9::double, 6) AS v FROM pixels p JOIN wt a ON a.s = p.y JOIN wt b ON b.s = p.x GROUP BY ALL")
 def _(t):
     return rounded_off_ties(to_pixels(M.resize_to(t.images().withColumn("orig_h", F.col("h")).withColumn("orig_w", F.col("w")), 0.75)))
+
+
+@query("upscale", "X01 I01 I02 I03 I06 I07 I08 I09 I10", f"""{cte('pixels', 'bgra')}, a AS (WITH {gather('pixels', '16', '16', 'ty // 2', 'tx // 2')}), b AS (WITH {gather('bgra', '8', '8', 'ty // 2', 'tx // 2', 'tc', '4')})
+SELECT image_id, 'L' AS mode, 0 AS missing, y, x, c, v FROM a UNION ALL SELECT image_id + 1000000, 'RGBA', 0, y, x, c, v FROM b""")
+def _(t):
+    both = t.images().unionByName(t.images("bgra").withColumn("image_id", F.col("image_id") + 1000000))
+    return to_pixels(upscale(both, lambda key: 2, nearest_predict, "double", scale=2, tile=4, tile_pad=1, pre_pad=3), "mode", "missing")
