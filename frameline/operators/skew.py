@@ -35,7 +35,8 @@ def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str =
         raise ValueError(f"join type {how} would repeat the right side")
     if fits_broadcast(small):
         return big.join(small, list(on), how)
-    left = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int"))
+    hashable = [f.name for f in big.schema.fields if "map<" not in f.dataType.simpleString()]
+    left = big.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int"))
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
