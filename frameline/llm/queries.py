@@ -2,10 +2,23 @@
 
 from __future__ import annotations
 
-from frameline.llm import chat, urls
+import public_tokenizers
+
+from frameline.llm import bpe, chat, secrets, urls
 from frameline.llm.common import read
 
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def op3_bpe_transducer(spark, sf_dir):
+    return bpe.encode_decode(read(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op4_structural_secrets(spark, sf_dir):
+    return secrets.scan(read(spark, sf_dir, "documents"))
+
+
 def op6_url_reputation(spark, sf_dir):
     judged = urls.judge_urls(read(spark, sf_dir, "pages"), read(spark, sf_dir, "labels"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -16,5 +29,5 @@ def op9_chat_round_trip(spark, sf_dir):
     return chat.digest(chat.format_conversations(turns))
 
 
-QUERIES = {q.__name__: q for q in (op6_url_reputation, op9_chat_round_trip)}
+QUERIES = {q.__name__: q for q in (op3_bpe_transducer, op4_structural_secrets, op6_url_reputation, op9_chat_round_trip)}
 SQL = {"op6_url_reputation": urls.SQL, "op9_chat_round_trip": chat.SQL}
