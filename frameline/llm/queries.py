@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from frameline.llm import bpe, chat, secrets, urls
+from frameline.llm import bpe, chat, secrets, toxicity, urls
 from frameline.llm.common import read
 
 
@@ -19,6 +19,10 @@ def op4_structural_secrets(spark, sf_dir):
     return secrets.scan(read(spark, sf_dir, "documents"))
 
 
+def op5_ftrl_toxicity(spark, sf_dir):
+    return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op6_url_reputation(spark, sf_dir):
     judged = urls.judge_urls(read(spark, sf_dir, "pages"), read(spark, sf_dir, "labels"))
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -29,5 +33,5 @@ def op9_chat_round_trip(spark, sf_dir):
     return chat.digest(chat.format_conversations(turns))
 
 
-QUERIES = {q.__name__: q for q in (op3_bpe_transducer, op4_structural_secrets, op6_url_reputation, op9_chat_round_trip)}
+QUERIES = {q.__name__: q for q in (op3_bpe_transducer, op4_structural_secrets, op5_ftrl_toxicity, op6_url_reputation, op9_chat_round_trip)}
 SQL = {"op6_url_reputation": urls.SQL, "op9_chat_round_trip": chat.SQL}
