@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from frameline.llm import bpe, chat, secrets, toxicity, urls
+from frameline.llm import bpe, chat, minhash, secrets, toxicity, urls
 from frameline.llm.common import read
 
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_minhash_fingerprints(spark, sf_dir):
+    return minhash.edited_fingerprints(read(spark, sf_dir, "documents"))
+
+
 def op3_bpe_transducer(spark, sf_dir):
     return bpe.encode_decode(read(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -33,5 +37,5 @@ def op9_chat_round_trip(spark, sf_dir):
     return chat.digest(chat.format_conversations(turns))
 
 
-QUERIES = {q.__name__: q for q in (op3_bpe_transducer, op4_structural_secrets, op5_ftrl_toxicity, op6_url_reputation, op9_chat_round_trip)}
+QUERIES = {q.__name__: q for q in (op2_minhash_fingerprints, op3_bpe_transducer, op4_structural_secrets, op5_ftrl_toxicity, op6_url_reputation, op9_chat_round_trip)}
 SQL = {"op6_url_reputation": urls.SQL, "op9_chat_round_trip": chat.SQL}
