@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from frameline.llm import bpe, chat, minhash, secrets, toxicity, urls
+from frameline.llm import bpe, chat, decontaminate, minhash, secrets, toxicity, urls
 from frameline.llm.common import read
 
 
@@ -32,10 +32,14 @@ def op6_url_reputation(spark, sf_dir):
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_block_max_wand(spark, sf_dir):
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op9_chat_round_trip(spark, sf_dir):
     turns = chat.with_hostile_conversation(read(spark, sf_dir, "conversations"))
     return chat.digest(chat.format_conversations(turns))
 
 
-QUERIES = {q.__name__: q for q in (op2_minhash_fingerprints, op3_bpe_transducer, op4_structural_secrets, op5_ftrl_toxicity, op6_url_reputation, op9_chat_round_trip)}
+QUERIES = {q.__name__: q for q in (op2_minhash_fingerprints, op3_bpe_transducer, op4_structural_secrets, op5_ftrl_toxicity, op6_url_reputation, op7_block_max_wand, op9_chat_round_trip)}
 SQL = {"op6_url_reputation": urls.SQL, "op9_chat_round_trip": chat.SQL}
