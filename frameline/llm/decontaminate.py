@@ -267,14 +267,16 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = THRESHOLD, ne
     return out
 
 
+def _holds_item(shipped):
+    @F.pandas_udf("boolean")
+    def hit(column: pd.Series) -> pd.Series:
+        return column.map(lambda t: bool(search(shipped.value, words_of(t or ""))))
+
+    return hit
+
+
 def without_benchmark(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` (all columns) without the documents in which a test item was found."""
     for index in indexes(items):
-        shipped = docs.sparkSession.sparkContext.broadcast(index)
-
-        @F.pandas_udf("boolean")
-        def hit(column: pd.Series, shipped=shipped) -> pd.Series:
-            return column.map(lambda t: bool(search(shipped.value, words_of(t or ""))))
-
-        docs = docs.filter(~hit(F.col("text")))
+        docs = docs.filter(~_holds_item(docs.sparkSession.sparkContext.broadcast(index))(F.col("text")))
     return docs
