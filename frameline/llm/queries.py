@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from frameline.llm import bpe, chat, decontaminate, minhash, secrets, toxicity, urls
+from frameline.llm import bpe, chat, decontaminate, minhash, omh, secrets, toxicity, urls
 from frameline.llm.common import read
 
 
@@ -41,5 +41,9 @@ def op9_chat_round_trip(spark, sf_dir):
     return chat.digest(chat.format_conversations(turns))
 
 
-QUERIES = {q.__name__: q for q in (op2_minhash_fingerprints, op3_bpe_transducer, op4_structural_secrets, op5_ftrl_toxicity, op6_url_reputation, op7_block_max_wand, op9_chat_round_trip)}
+def op10_order_minhash(spark, sf_dir):
+    return omh.near_classes(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
+
+
+QUERIES = {q.__name__: q for q in (op2_minhash_fingerprints, op3_bpe_transducer, op4_structural_secrets, op5_ftrl_toxicity, op6_url_reputation, op7_block_max_wand, op9_chat_round_trip, op10_order_minhash)}
 SQL = {"op6_url_reputation": urls.SQL, "op9_chat_round_trip": chat.SQL}
