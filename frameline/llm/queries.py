@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from frameline.llm import bpe, chat, decontaminate, minhash, omh, secrets, toxicity, urls
+from frameline.llm import bpe, chat, decontaminate, minhash, omh, secrets, substrings, toxicity, urls
 from frameline.llm.common import read
 
 
@@ -36,6 +36,10 @@ def op7_block_max_wand(spark, sf_dir):
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op8_block_anchors(spark, sf_dir):
+    return substrings.digest(substrings.repeats(read(spark, sf_dir, "documents")))
+
+
 def op9_chat_round_trip(spark, sf_dir):
     turns = chat.with_hostile_conversation(read(spark, sf_dir, "conversations"))
     return chat.digest(chat.format_conversations(turns))
@@ -45,5 +49,5 @@ def op10_order_minhash(spark, sf_dir):
     return omh.near_classes(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
 
 
-QUERIES = {q.__name__: q for q in (op2_minhash_fingerprints, op3_bpe_transducer, op4_structural_secrets, op5_ftrl_toxicity, op6_url_reputation, op7_block_max_wand, op9_chat_round_trip, op10_order_minhash)}
-SQL = {"op6_url_reputation": urls.SQL, "op9_chat_round_trip": chat.SQL}
+QUERIES = {q.__name__: q for q in (op2_minhash_fingerprints, op3_bpe_transducer, op4_structural_secrets, op5_ftrl_toxicity, op6_url_reputation, op7_block_max_wand, op8_block_anchors, op9_chat_round_trip, op10_order_minhash)}
+SQL = {"op6_url_reputation": urls.SQL, "op8_block_anchors": substrings.SQL, "op9_chat_round_trip": chat.SQL}
