@@ -4,13 +4,18 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from frameline.llm import bpe, chat, decontaminate, minhash, omh, secrets, substrings, toxicity, urls
+from frameline.llm import bpe, chat, decontaminate, minhash, omh, secrets, substrings, toxicity, urls, warc
 from frameline.llm.common import read
 
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_warc_dictionary(spark, sf_dir):
+    back = warc.round_trip(read(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op2_minhash_fingerprints(spark, sf_dir):
     return minhash.edited_fingerprints(read(spark, sf_dir, "documents"))
 
@@ -49,5 +54,5 @@ def op10_order_minhash(spark, sf_dir):
     return omh.near_classes(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
 
 
-QUERIES = {q.__name__: q for q in (op2_minhash_fingerprints, op3_bpe_transducer, op4_structural_secrets, op5_ftrl_toxicity, op6_url_reputation, op7_block_max_wand, op8_block_anchors, op9_chat_round_trip, op10_order_minhash)}
-SQL = {"op6_url_reputation": urls.SQL, "op8_block_anchors": substrings.SQL, "op9_chat_round_trip": chat.SQL}
+QUERIES = {q.__name__: q for q in (op1_warc_dictionary, op2_minhash_fingerprints, op3_bpe_transducer, op4_structural_secrets, op5_ftrl_toxicity, op6_url_reputation, op7_block_max_wand, op8_block_anchors, op9_chat_round_trip, op10_order_minhash)}
+SQL = {"op1_warc_dictionary": warc.SQL, "op6_url_reputation": urls.SQL, "op8_block_anchors": substrings.SQL, "op9_chat_round_trip": chat.SQL}
