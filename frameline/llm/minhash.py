@@ -106,11 +106,14 @@ def _by_descending_id(rows: DataFrame) -> DataFrame:
     parts = pieces_of(rows.sparkSession)
     place = F.coalesce(-F.col("doc_id"), F.lit(2**63 - 1))
     rows = rows.withColumn("_place", place).withColumn("_tie", F.xxhash64("text"))
-    edges = sorted({int(e) for e in rows.approxQuantile("_place", [i / parts for i in range(1, parts)], 0.001)}) if parts > 1 else []
-    run = F.lit(0)
-    for edge in edges:  # as many as there are shuffle partitions
-        run = F.when(F.col("_place") >= edge, F.lit(1)).otherwise(F.lit(0)) + run
-    rows = rows.withColumn("_run", run)
+    known = rows.filter("doc_id is not null")
+    edges = np.array(known.approxQuantile("_place", [i / parts for i in range(1, parts)], 0.001) if parts > 1 else [], float)
+
+    @F.pandas_udf("int")
+    def run_of(column: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(np.unique(edges), column.to_numpy(np.int64).astype(float), side="right"))
+
+    rows = rows.withColumn("_run", run_of("_place"))
     order = F.struct("_place", "_tie")
     first = rows.groupBy("_run").agg(F.min(order).alias("_first"))
     all_runs = Window.orderBy("_run")  # over one row per run

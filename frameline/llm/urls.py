@@ -75,7 +75,7 @@ def reputation(pages: DataFrame, labels: DataFrame, two_name_suffixes: Sequence[
         "hosts",
     )
     total = hosts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
-    rate = ((total.bad or 0) + 0.5) / ((total.n or 0) + 1)
+    rate = (total.bad + 0.5) / (total.n + 1) if total.n else 0.0  # without any outcome no host is suspected
     mean, parent = F.lit(rate), None
     above: DataFrame | None = None
     for level in ("suffix", "domain", "host"):
@@ -111,7 +111,7 @@ WITH cut AS (
   SELECT host, CAST(count(o.bad) AS DOUBLE) AS n, CAST(coalesce(sum(o.bad), 0) AS DOUBLE) AS bad,
     regexp_extract(host, '([^.]*[.])?[^.]*$') AS domain, regexp_extract(host, '[^.]*$') AS suffix
   FROM p LEFT JOIN o USING (page_id) GROUP BY host
-), s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT (sum(bad) + 0.5) / (sum(n) + 1) FROM h) AS prior FROM h GROUP BY suffix),
+), s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, (SELECT CASE WHEN sum(n) = 0 THEN 0 ELSE (sum(bad) + 0.5) / (sum(n) + 1) END FROM h) AS prior FROM h GROUP BY suffix),
 ss AS (SELECT 1 / least(greatest(coalesce(sum((bad - n * prior) ^ 2 - n * prior * (1 - prior)) / nullif(sum(n * prior * (1 - prior) * (n - 1)), 0), 0), 1e-3), 0.9) - 1 AS s FROM s),
 d AS (SELECT h.domain, h.suffix, sum(h.n) AS n, sum(h.bad) AS bad, any_value((s.bad + ss.s * s.prior) / (s.n + ss.s)) AS prior FROM h JOIN s USING (suffix), ss GROUP BY h.domain, h.suffix),
 ds AS (SELECT 1 / least(greatest(coalesce(sum((bad - n * prior) ^ 2 - n * prior * (1 - prior)) / nullif(sum(n * prior * (1 - prior) * (n - 1)), 0), 0), 1e-3), 0.9) - 1 AS s FROM d),
