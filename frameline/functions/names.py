@@ -75,8 +75,9 @@ def task_uuid(path: Column) -> Column:
 
 
 def frame_key(base: Column, n: Column, total: Column, ext: Column) -> Column:
-    """``base_NNN.ext`` with ``n`` zero-padded to the digits of ``total``."""
-    return F.concat(base, F.lit("_"), F.lpad(n.cast("string"), F.length(total.cast("string")), F.lit("0")), F.lit("."), ext)
+    """``base_NNN.ext`` with ``n`` zero-padded to the digits of ``total``; a longer ``n`` keeps all its digits."""
+    digits = n.cast("string")
+    return F.concat(base, F.lit("_"), F.lpad(digits, F.greatest(F.length(digits), F.length(total.cast("string"))), F.lit("0")), F.lit("."), ext)
 
 
 def normalize_status(status: Column) -> Column:

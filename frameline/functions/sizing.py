@@ -37,9 +37,9 @@ def int_div(a: Column, b: Column | int) -> Column:
 
 
 def frame_rate(text: Column) -> Column:
-    """``num/den`` cut (not rounded) to two digits; null when the denominator is zero."""
+    """``num/den`` cut (not rounded) to two digits; null when the denominator is zero or a part is no number."""
     parts = F.split(text, "/")
-    num, den = F.get(parts, F.lit(0)).cast("long"), F.coalesce(F.get(parts, F.lit(1)).cast("long"), F.lit(1))
+    num, den = F.get(parts, F.lit(0)).try_cast("long"), F.when(F.size(parts) < 2, F.lit(1).cast("long")).otherwise(F.get(parts, F.lit(1)).try_cast("long"))
     hundredths = F.floor(num * 100 / F.nullif(den, F.lit(0)))
     return (hundredths / 100.0).cast("double")
 

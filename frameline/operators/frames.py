@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from frameline.functions import sizing
-from frameline.operators.skew import expand_range, ranked_in_group, salted_join, with_neighbours
+from frameline.operators.skew import expand_range, ranked_in_group, salted_join
 
 # Quality -> encoder preset and rate factor; format -> codec; unknown or absent -> default.
 QUALITY = {"low": ("fast", 28), "medium": ("medium", 23), "high": ("slow", 18), "ultra": ("veryslow", 15)}
@@ -73,9 +73,9 @@ def batch_resources(plan: DataFrame) -> DataFrame:
 
 
 def keep_recompressed(df: DataFrame) -> DataFrame:
-    """Decides per file whether the recompressed version (smaller by more than 10 whole percent) is kept."""
-    reduction = sizing.int_div((F.col("size") - F.col("new_size")) * 100, F.col("size"))
-    return df.withColumn("reduction_percent", reduction).withColumn("keep_new", reduction > MIN_REDUCTION_PERCENT)
+    """Decides per file whether the recompressed version (smaller by more than 10 whole percent) is kept; an empty file is not."""
+    reduction = sizing.int_div((F.col("size") - F.col("new_size")) * 100, F.nullif(F.col("size"), F.lit(0)))
+    return df.withColumn("reduction_percent", reduction).withColumn("keep_new", F.coalesce(reduction > MIN_REDUCTION_PERCENT, F.lit(False)))
 
 
 def missing_frames(tasks: DataFrame, frames: DataFrame) -> DataFrame:
@@ -105,11 +105,12 @@ def remaining_frames(frames: DataFrame, checkpoints: DataFrame, markers: DataFra
 def recompose_plan(tasks: DataFrame, frames: DataFrame, audio: DataFrame) -> DataFrame:
     """Output seconds per task: the shorter of video and audio when there is audio, else the video.
 
-    ``tasks`` has ``job_id, fps``; ``frames`` one row per frame; ``audio`` ``job_id, audio_seconds``.
+    ``tasks`` has ``job_id, fps``; ``frames`` one row per frame; ``audio`` ``job_id, audio_seconds``. A task without
+    frames has 0 of them; a rate of zero gives no length.
     """
     counts = frames.groupBy("job_id").agg(F.count_distinct("n").alias("frames"))
-    rows = tasks.join(counts, "job_id").join(audio, "job_id", "left")
-    video = F.round(F.col("frames") / F.col("fps"), 4)
+    rows = tasks.join(counts, "job_id", "left").fillna(0, ["frames"]).join(audio, "job_id", "left")
+    video = F.round(F.col("frames") / F.nullif(F.col("fps"), F.lit(0.0)), 4)
     return rows.select(
         "job_id", "frames", "fps", "audio_seconds", video.alias("video_seconds"), F.least(video, "audio_seconds").alias("output_seconds"),
     )
@@ -149,12 +150,19 @@ def retry_outcome(attempts: DataFrame, order: Sequence[str], max_attempts: int =
 
 
 def frame_gaps(frames: DataFrame, chunk_size: int = 65536) -> DataFrame:
-    """Runs of missing numbers between two present frames of a job."""
-    once = frames.select("job_id", F.col("n").cast("long").alias("n")).distinct()
-    linked = with_neighbours(once, ["job_id"], ["n"], sizing.int_div(F.col("n"), chunk_size), ["n"])
-    return linked.filter(F.col("next.n") - F.col("n") > 1).select(
-        "job_id", (F.col("n") + 1).alias("gap_start"), (F.col("next.n") - 1).alias("gap_end"), (F.col("next.n") - F.col("n") - 1).alias("missing")
-    )
+    """Runs of missing numbers between two present frames of a job.
+
+    The frames of a job are gathered in slices of ``chunk_size`` numbers (so no list is longer), gaps inside a slice come
+    from its sorted list, gaps between slices from the slice before: one shuffle of the frames, and a window over slices.
+    """
+    number = F.col("n").cast("long")
+    slices = frames.filter(number.isNotNull()).groupBy("job_id", sizing.int_div(number, chunk_size).alias("_slice")).agg(F.array_sort(F.collect_set(number)).alias("_n"))
+    along = Window.partitionBy("job_id").orderBy("_slice")
+    slices = slices.withColumn("_before", F.lag(F.element_at("_n", -1)).over(along))
+    listed = F.when(F.col("_before").isNull(), F.col("_n")).otherwise(F.concat(F.array("_before"), F.col("_n")))
+    pairs = slices.select("job_id", F.explode(F.arrays_zip(F.slice(listed, 1, F.size(listed) - 1).alias("a"), F.slice(listed, 2, F.size(listed) - 1).alias("b"))).alias("_p"))
+    a, b = F.col("_p.a"), F.col("_p.b")
+    return pairs.filter(b - a > 1).select("job_id", (a + 1).alias("gap_start"), (b - 1).alias("gap_end"), (b - a - 1).alias("missing"))
 
 
 def ordered_frames(frames: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gzip
+import uuid
 from collections import OrderedDict
 from collections.abc import Callable, Iterator, Sequence
 
@@ -61,15 +62,19 @@ def explode_requests(bodies: DataFrame, body: str = "body") -> DataFrame:
 
 
 class ModelRegistry:
-    """Loads models by key and keeps the ``max_models`` used last; lives once per Python worker process."""
+    """Loads models by key and keeps the ``max_models`` used last; lives once per Python worker process.
+
+    A registry is made on the driver and travels to the workers with its own token, so that two loaders never share a
+    model, whatever they are called.
+    """
 
     _cached: OrderedDict = OrderedDict()
 
     def __init__(self, loader: Callable[[str], object], max_models: int = 5):
-        self.loader, self.max_models = loader, max_models
+        self.loader, self.max_models, self.token = loader, max_models, uuid.uuid4().hex
 
     def get(self, key: str) -> object:
-        cache, slot = ModelRegistry._cached, (getattr(self.loader, "__qualname__", repr(self.loader)), key)
+        cache, slot = ModelRegistry._cached, (self.token, key)
         if slot not in cache:
             cache[slot] = self.loader(key)
         cache.move_to_end(slot)
@@ -88,7 +93,7 @@ def infer(
     ``tasks`` spreads the work evenly by request instead of by stored bytes.
     """
     element = requests.schema["data"].dataType.elementType
-    dtype = np.dtype({"float": "f4", "double": "f8"}[element.simpleString()])
+    dtype = np.dtype({"tinyint": "i1", "smallint": "i2", "int": "i4", "bigint": "i8", "float": "f4", "double": "f8"}[element.simpleString()])
     keys = ("job_id", "batch_id")
     out = T.StructType([requests.schema[k] for k in keys] + [
         T.StructField("status", T.IntegerType()), T.StructField("output_file_path", T.StringType()), T.StructField("error", T.StringType()),
@@ -146,14 +151,18 @@ def batch_rollup(results: DataFrame) -> DataFrame:
 
 
 def nested_results(results: DataFrame, size: int = sizing.LARGEST_BATCH) -> DataFrame:
-    """Results as lists of at most ``size``, ordered by batch id, one list per sub-batch of a job."""
+    """Results as lists of at most ``size``, ordered by batch id, one list per sub-batch of a job.
+
+    A batch id that is no number is a sub-batch of its own (named by its hash).
+    """
     held = F.struct("batch_id", "status", "output_file_path", "error")
-    grouped = results.groupBy("job_id", sizing.int_div(F.col("batch_id").cast("long"), size).alias("sub_batch"))
+    grouped = results.groupBy("job_id", F.coalesce(sizing.int_div(F.col("batch_id").try_cast("long"), size), F.xxhash64("batch_id")).alias("sub_batch"))
     return grouped.agg(F.sort_array(F.collect_list(held)).alias("batch_results"))
 
 
 def ordered_results(results: DataFrame) -> DataFrame:
-    return results.orderBy("job_id", F.col("batch_id").cast("long"))
+    """By job, then by the number of the batch; ids that are no numbers come last, by their text."""
+    return results.orderBy("job_id", F.col("batch_id").try_cast("long").asc_nulls_last(), "batch_id")
 
 
 def _map_content(df: DataFrame, keep: Sequence[str], change: Callable[[bytes], bytes]) -> DataFrame:

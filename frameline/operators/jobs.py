@@ -50,17 +50,20 @@ def split_videos(df: DataFrame, key: str = "key") -> tuple[DataFrame, DataFrame]
 
 
 def unpack_upload_event(events: DataFrame, first_record_only: bool = True, body: str = "body") -> DataFrame:
-    """Bucket and decoded key per record; a record lacking either has status 400 and an error."""
+    """Bucket and decoded key per record; a record that lacks either, or whose key cannot be decoded, has status 400 and an error."""
     records = F.from_json(F.col(body), schemas.UPLOAD_EVENT)["Records"]
     rows = events.withColumn("_record", F.get(records, F.lit(0)) if first_record_only else F.explode_outer(records))
     bucket, key = F.col("_record.s3.bucket.name"), F.col("_record.s3.object.key")
+    decoded = F.try_url_decode(key)
     lacks = F.when(F.col("_record.s3").isNull(), "s3").when(bucket.isNull(), "bucket").when(key.isNull(), "key")
+    unreadable = F.when(decoded.isNull(), F.concat(F.lit("Key cannot be decoded: "), key))
+    error = F.coalesce(F.concat(F.lit("Missing key in event: "), lacks), unreadable)
     return rows.select(
         *events.columns,
         bucket.alias("bucket"),
-        F.try_url_decode(key).alias("key"),
-        F.when(lacks.isNull(), 200).otherwise(400).alias("status_code"),
-        F.when(lacks.isNotNull(), F.concat(F.lit("Missing key in event: "), lacks)).alias("error"),
+        decoded.alias("key"),
+        F.when(error.isNull(), 200).otherwise(400).alias("status_code"),
+        error.alias("error"),
     )
 
 
@@ -111,22 +114,41 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     return df.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")
 
 
-def upsert_jobs(current: DataFrame, changes: DataFrame, key: str = "job_id", version: str = "updated_at") -> DataFrame:
-    """Snapshot after applying partial updates: every attribute takes its newest non-null value.
+def upsert_jobs(
+    current: DataFrame, changes: DataFrame, key: str = "job_id", version: str = "updated_at",
+    add: Sequence[str] = (), union: Sequence[str] = (), sequence: str | None = None,
+) -> DataFrame:
+    """Snapshot after applying partial updates.
 
-    One aggregation with map-side combine; the newest value is the maximum of (version, value) per column.
+    An attribute takes its newest non-null value; of equal versions the larger ``sequence`` (a column of ``changes``)
+    wins, else the larger value. Attributes in ``add`` are increments and are summed, those in ``union`` are arrays
+    whose distinct values are collected. One aggregation with map-side combine: many increments of one hot job are
+    summed before the shuffle. A set holds as many values as the attribute of one job has.
     """
     attributes = [c for c in current.columns if c not in (key, version)]
     given = [c for c in changes.columns if c in attributes]
-    both = current.unionByName(changes.select(key, version, *given), allowMissingColumns=True)
-    newest = [F.max(F.when(F.col(c).isNotNull(), F.struct(version, F.col(c).alias("v"))))["v"].alias(c) for c in attributes]
-    return both.groupBy(key).agg(F.max(version).alias(version), *newest).select(*current.columns)
+    rank = F.lit(-1).cast("long")
+    old = current.withColumn("_rank", rank)
+    new = changes.select(key, version, *given, (F.col(sequence).cast("long") if sequence else F.lit(0).cast("long")).alias("_rank"))
+    both = old.unionByName(new, allowMissingColumns=True)
+
+    def merged(c: str) -> Column:
+        if c in add:
+            return F.sum(c).cast(current.schema[c].dataType)
+        if c in union:
+            return F.array_sort(F.array_distinct(F.flatten(F.collect_set(c))))
+        return F.max(F.when(F.col(c).isNotNull(), F.struct(version, "_rank", F.col(c).alias("v"))))["v"]
+
+    return both.groupBy(key).agg(F.max(version).alias(version), *[merged(c).alias(c) for c in attributes]).select(*current.columns)
 
 
 def pivot_task_attributes(kv: DataFrame, attributes: dict[str, str] | None = None) -> DataFrame:
-    """Attribute rows ``(task_id, attr, value)`` to one typed row per task; the attribute list is fixed, so no scan for it."""
+    """Attribute rows ``(task_id, attr, value)`` to one typed row per task; the attribute list is fixed, so no scan for it.
+
+    A value that does not fit the type of its attribute (probes report ``N/A``) is null.
+    """
     attributes = TASK_ATTRIBUTES if attributes is None else attributes
-    wide = [F.max(F.when(F.col("attr") == a, F.col("value"))).cast(t).alias(a) for a, t in attributes.items()]
+    wide = [F.max(F.when(F.col("attr") == a, F.col("value"))).try_cast(t).alias(a) for a, t in attributes.items()]
     return kv.groupBy("task_id").agg(*wide)
 
 

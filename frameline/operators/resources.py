@@ -93,8 +93,8 @@ def without_jobs_containing(endpoints: DataFrame, jobs: DataFrame) -> DataFrame:
 
 
 def fallback_capacity(fleet: DataFrame) -> DataFrame:
-    """On-demand units to buy for the missing capacity; an over-full fleet needs none."""
-    percent = F.col("fulfilled") / F.col("target") * 100
+    """On-demand units to buy for the missing capacity; an over-full fleet, or one without a target, needs none."""
+    percent = F.try_divide("fulfilled", "target") * 100
     gap = F.greatest(F.col("target") - F.col("fulfilled"), F.lit(0.0))
     label, share = None, None
     for limit, name, part in SHORTAGE_POLICY:
@@ -115,12 +115,8 @@ def leak_report(volumes: DataFrame, snapshots: DataFrame) -> DataFrame:
         return df.agg(F.struct(F.count(F.lit(1)).alias("total"), F.count_if(ok).alias("deleted"), F.count_if(~ok).alias("errors")).alias("t"))
 
     both = totals(volumes).select(F.col("t").alias("v"), totals(snapshots).scalar().alias("s"))
-    # Wording of the notice.
-    text = (
-        "Resource Leak Monitoring Report\n\nOrphaned Volumes:\n- Total found: %d\n- Successfully deleted: %d\n- Errors: %d\n\n"
-        "Orphaned Snapshots:\n- Total found: %d\n- Successfully deleted: %d\n- Errors: %d\n\nFor more details, please check the logs.\n"
-    )
+    text = "volumes without owner: %d found, %d removed, %d failed\nsnapshots without owner: %d found, %d removed, %d failed"
     return both.filter((F.col("v.deleted") > 0) | (F.col("s.deleted") > 0)).select(
-        F.format_string("Resource Leak Cleanup: %d volumes, %d snapshots", "v.deleted", "s.deleted").alias("subject"),
+        F.format_string("unused storage removed: volumes %d, snapshots %d", "v.deleted", "s.deleted").alias("subject"),
         F.format_string(text, "v.total", "v.deleted", "v.errors", "s.total", "s.deleted", "s.errors").alias("message"),
     )

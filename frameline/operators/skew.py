@@ -68,35 +68,52 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def ranked_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, name: str = "rank") -> DataFrame:
-    """``row_number`` per group without ever sorting a whole group in one task.
+HOT_ROWS = 1_000_000
 
-    ``chunk`` must never decrease along ``order``. Rows are numbered inside (group, chunk); the offset of a
-    chunk is the running total of the chunk sizes before it, a far smaller table.
+
+def _chunked(df: DataFrame, keys: Sequence[str], chunk: Column, hot_rows: int) -> tuple[DataFrame, DataFrame]:
+    """``df`` with ``_chunk``, null but for groups of more than ``hot_rows`` rows; and the rows of those groups.
+
+    Groups are counted first (with map-side combine), so only the hot ones are cut, and whatever is computed per chunk
+    is a table of the chunks of hot groups.
+    """
+    if not keys:
+        rows = df.withColumn("_chunk", chunk)
+        return rows, rows
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_many")).filter(F.col("_many") > hot_rows)
+    rows = _null_safe(df, hot, keys, "left").withColumn("_chunk", F.when(F.col("_many").isNotNull(), chunk))
+    return rows.drop("_many"), rows.filter(F.col("_many").isNotNull()).drop("_many")
+
+
+def ranked_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, name: str = "rank", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``row_number`` per group without ever sorting more than a chunk of a large group in one task.
+
+    ``chunk`` must never decrease along ``order``. Groups of at most ``hot_rows`` rows are numbered as they are; larger
+    ones inside (group, chunk), the offset of a chunk being the running total of the chunk sizes before it.
     """
-    rows = df.withColumn("_chunk", chunk)
-    sizes = rows.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_size"))
+    rows, hot = _chunked(df, keys, chunk, hot_rows)
+    sizes = hot.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*keys, "_chunk", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     numbered = rows.withColumn("_inside", F.row_number().over(inside))
     return (
-        _null_safe(numbered, offsets, [*keys, "_chunk"], "inner")
-        .withColumn(name, (F.col("_offset") + F.col("_inside")).cast("long"))
+        _null_safe(numbered, offsets, [*keys, "_chunk"], "left")
+        .withColumn(name, (F.coalesce(F.col("_offset"), F.lit(0)) + F.col("_inside")).cast("long"))
         .drop("_chunk", "_inside", "_offset")
     )
 
 
-def with_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, values: Sequence[str]) -> DataFrame:
+def with_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, values: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Adds ``prev`` and ``next`` structs holding ``values`` of the row before and after within the group.
 
     Same chunking as :func:`ranked_in_group`: neighbours inside a chunk come from a window over the chunk,
     neighbours across a chunk edge from the first and last row of every chunk.
     """
-    rows = df.withColumn("_chunk", chunk)
+    rows, hot = _chunked(df, keys, chunk, hot_rows)
     held = F.struct(*[F.col(v) for v in values])
     sortable = F.struct(*[F.col(o) for o in order], held.alias("_held"))
-    edges = rows.groupBy(*keys, "_chunk").agg(F.min(sortable).alias("_first"), F.max(sortable).alias("_last"))
+    edges = hot.groupBy(*keys, "_chunk").agg(F.min(sortable).alias("_first"), F.max(sortable).alias("_last"))
     along = Window.partitionBy(*keys).orderBy("_chunk")
     edges = edges.select(
         *keys, "_chunk",
@@ -106,7 +123,7 @@ def with_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence[str], ch
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     linked = rows.withColumn("_prev", F.lag(held).over(inside)).withColumn("_next", F.lead(held).over(inside))
     return (
-        _null_safe(linked, edges, [*keys, "_chunk"], "inner")
+        _null_safe(linked, edges, [*keys, "_chunk"], "left")
         .withColumn("prev", F.coalesce("_prev", "_before"))
         .withColumn("next", F.coalesce("_next", "_after"))
         .drop("_chunk", "_prev", "_next", "_before", "_after")

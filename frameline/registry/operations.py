@@ -70,8 +70,8 @@ def _(t):
 
 
 @query("leak_report", "A17", f"""{cte('snapshots', 'volumes')}, v AS (SELECT count(*) AS n, count(*) FILTER (WHERE volume_id LIKE '%7') AS bad FROM volumes WHERE state = 'available'), s AS (SELECT count(*) AS n, count(*) FILTER (WHERE snapshot_id LIKE '%7') AS bad FROM snapshots)
-SELECT format('Resource Leak Cleanup: {{}} volumes, {{}} snapshots', v.n - v.bad, s.n - s.bad) AS subject, 'Resource Leak Monitoring Report' || chr(10) || chr(10) || 'Orphaned Volumes:' || chr(10) || '- Total found: ' || v.n || chr(10) || '- Successfully deleted: ' || (v.n - v.bad) || chr(10) || '- Errors: ' || v.bad || chr(10) || chr(10)
- || 'Orphaned Snapshots:' || chr(10) || '- Total found: ' || s.n || chr(10) || '- Successfully deleted: ' || (s.n - s.bad) || chr(10) || '- Errors: ' || s.bad || chr(10) || chr(10) || 'For more details, please check the logs.' || chr(10) AS message FROM v, s""")
+SELECT format('unused storage removed: volumes {{}}, snapshots {{}}', v.n - v.bad, s.n - s.bad) AS subject,
+ format('volumes without owner: {{}} found, {{}} removed, {{}} failed', v.n, v.n - v.bad, v.bad) || chr(10) || format('snapshots without owner: {{}} found, {{}} removed, {{}} failed', s.n, s.n - s.bad, s.bad) AS message FROM v, s""")
 def _(t):
     volumes = t("volumes").filter("state = 'available'").select(F.expr("CASE WHEN volume_id LIKE '%7' THEN 'in use' END AS error"))
     snapshots = t("snapshots").select(F.expr("CASE WHEN snapshot_id LIKE '%7' THEN 'in use' END AS error"))

@@ -57,7 +57,7 @@ VERDICT = "CASE " + " ".join(
 
 @query("job_state_machine", "T05", f"{cte('status_changes')}, {FIRSTS}, v AS (SELECT job_id, {VERDICT} FROM f) SELECT * FROM v WHERE state NOT LIKE '%waiting'")
 def _(t):
-    return run_to_table(t.spark, S.job_state_machine(t.stream("status_changes").withColumn("stage", F.expr(STAGE))), "machine")
+    return S.latest_verdicts(run_to_table(t.spark, S.job_state_machine(t.stream("status_changes").withColumn("stage", F.expr(STAGE))), "machine"))
 
 
 @query("job_states_batch", "T05", f"{cte('status_changes')}, {FIRSTS} SELECT job_id, {VERDICT} FROM f")

@@ -78,41 +78,48 @@ def _verdict(firsts: DataFrame) -> DataFrame:
 
 
 def job_state_machine(changes: DataFrame) -> DataFrame:
-    """Jobs that reached an end (all stages done, or a stage failed before it was done), each once.
+    """Ends of jobs (all stages done, or a stage failed before it was done): ``job_id, state, revision``.
 
-    The state of a job is the first COMPLETED and first FAILED time of every stage.
+    The state of a job is the first COMPLETED and first FAILED time of every stage. An end is given out as soon as it is
+    known. A record that arrives late may change it (also back to waiting); the job is then given out again with the next
+    revision, so its highest revision (:func:`latest_verdicts`) does not depend on the order in which records arrive.
     """
     slots = [(s, x) for s in STAGES for x in ("COMPLETED", "FAILED")]
 
     def advance(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        *held, ended = state.get if state.exists else (*[None] * len(slots), False)
+        *held, told, revision = state.get if state.exists else (*[None] * len(slots), None, 0)
         for chunk in rows:
-            if ended:
-                continue
             first = chunk.groupby(["stage", "status"])["at"].min()
             for i, slot in enumerate(slots):
                 if slot in first.index:
                     at = float(first[slot])
                     held[i] = at if held[i] is None else min(held[i], at)
-        if ended:
-            return
-        end = "COMPLETED"
+        end, over = "COMPLETED", True
         for i, stage in enumerate(STAGES):
             done, failed = held[2 * i], held[2 * i + 1]
             if failed is not None and (done is None or failed < done):
                 end = f"{stage}_failed"
                 break
             if done is None:
-                end = None
+                end, over = f"{stage}_waiting", False
                 break
-        state.update((*held, end is not None))
-        if end is not None:
-            yield pd.DataFrame({"job_id": [key[0]], "state": [end]})
+        news = end != told and (over or told is not None)
+        if news:
+            told, revision = end, revision + 1
+        state.update((*held, told, revision))
+        if news:
+            yield pd.DataFrame({"job_id": [key[0]], "state": [end], "revision": [revision]})
 
     at = F.unix_micros(F.col("ts").cast("timestamp")).cast("double")
     needed = changes.filter(F.col("status").isin("COMPLETED", "FAILED")).select("job_id", "stage", "status", at.alias("at"))
     columns = ", ".join(f"{s}_{x} double" for s, x in slots)
-    return _keyed(needed, "job_id", advance, "job_id string, state string", f"{columns}, ended boolean")
+    return _keyed(needed, "job_id", advance, "job_id string, state string, revision bigint", f"{columns}, told string, revision bigint")
+
+
+def latest_verdicts(verdicts: DataFrame) -> DataFrame:
+    """``job_id, state`` of the jobs that are at an end by their highest revision."""
+    newest = verdicts.groupBy("job_id").agg(F.max_by("state", "revision").alias("state"))
+    return newest.filter(~F.col("state").endswith("_waiting"))
 
 
 def streaming_alarms(stats: DataFrame, key: Column, breach: Column, period_seconds: int, periods: int) -> DataFrame:

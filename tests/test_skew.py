@@ -35,11 +35,12 @@ def test_salted_join_refuses_to_repeat_the_right_side(spark, rows):
         salted_join(big, big, ["k"], "full")
 
 
-def test_rank_and_neighbours(spark, rows):
+@pytest.mark.parametrize("hot_rows", [0, 100, 10**6])
+def test_rank_and_neighbours(spark, rows, hot_rows):
     df = spark.createDataFrame(rows, "k string, n int").withColumn("n", F.col("n").cast("long"))
     chunk = int_div(F.col("n"), 64)
-    ranked = {(r.k, r.n): r["rank"] for r in ranked_in_group(df, ["k"], ["n"], chunk).collect()}
-    linked = {(r.k, r.n): (r.prev and r.prev.n, r.next and r.next.n) for r in with_neighbours(df, ["k"], ["n"], chunk, ["n"]).collect()}
+    ranked = {(r.k, r.n): r["rank"] for r in ranked_in_group(df, ["k"], ["n"], chunk, hot_rows=hot_rows).collect()}
+    linked = {(r.k, r.n): (r.prev and r.prev.n, r.next and r.next.n) for r in with_neighbours(df, ["k"], ["n"], chunk, ["n"], hot_rows).collect()}
     assert len(ranked) == len(linked) == len(set(rows))
     for k in {k for k, _ in rows}:
         numbers = sorted(n for key, n in rows if key == k)

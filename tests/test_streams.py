@@ -52,14 +52,10 @@ def test_dead_letters_are_forgotten(spark, pieces):
 
 @pytest.mark.parametrize("kind", ["mixed", "ordered"])
 def test_state_machine_in_one_batch_and_many(spark, pieces, kind):
-    """Ends are given out as soon as they are known, so only time-ordered input must equal the batch job."""
     changes = stream(spark, pieces, kind, "status_changes").withColumn("stage", F.expr(STAGE))
     got = run_to_table(spark, S.job_state_machine(changes), "machine")
     want = S.job_states_batch(Tables(spark, FOLDER)("status_changes").withColumn("stage", F.expr(STAGE))).filter("state NOT LIKE '%waiting'")
-    if kind == "ordered":
-        assert rows(got) == rows(want)
-    assert {r.job_id for r in want.collect()} <= {r.job_id for r in got.collect()}
-    assert got.count() == got.select("job_id").distinct().count()
+    assert want.count() > 0 and rows(S.latest_verdicts(got)) == rows(want)
 
 
 def test_closed_periods_equal_batch(spark, pieces):
