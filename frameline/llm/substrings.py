@@ -15,7 +15,8 @@ of block length of every document probes them; hits are extended to exact repeat
    whole window starts in a smaller document is a repeat. Overlapping repeats join to maximal exact repeats.
 3. *Cut.* The words of the maximal repeats are removed from the text, which is joined to its answers by id.
 
-Hashes have 32 bits plus the bucket in step 1 (a chance hit only costs work in step 2) and 64 bits in step 2.
+Hashes have 32 bits plus the bucket in step 1 (a chance hit only costs work in step 2) and 48 bits plus the bucket in
+step 2: with ``PER_BUCKET`` entries a chance hit has a probability of about 3e-8 per probe, whatever the corpus is.
 
 Words are runs of characters other than ASCII space and U+0009 to U+000D, unchanged. Null text has no words; a text
 shorter than the window keeps all its words. Repeats inside one document, and between rows with one ``doc_id``, are not
@@ -36,6 +37,8 @@ from frameline.llm.minhash import Fingerprinter
 
 WINDOW = 13
 PER_BUCKET = 8_000_000
+PACK_AT = 500_000  # hashes after which a batch is packed, for bounded memory
+NARROW, WIDE = 4, 6  # bytes of a hash in the two steps
 NO_ID = 2**63 - 1
 
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -56,11 +59,26 @@ def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return ((hashes >> _LOW) % np.uint64(buckets)).astype(np.int64)
 
 
+def _packed(hashes: np.ndarray, width: int) -> bytes:
+    return np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]).tobytes()
+
+
+def _wide(data: bytes, width: int) -> np.ndarray:
+    cells = np.frombuffer(data, np.uint8).reshape(-1, width)
+    out = np.zeros((len(cells), 8), np.uint8)
+    out[:, :width] = cells
+    return out.view("<u8").ravel()
+
+
 class _Packer:
     """Collects (document, hashes) of a batch and packs them by bucket, keeping the order within each document."""
 
-    def __init__(self, buckets: int, width: type):
+    def __init__(self, buckets: int, width: int):
         self.buckets, self.width = buckets, width
+        self._start()
+
+    def _start(self) -> None:
+        self.held = 0
         self.ids: list[tuple[int, int]] = []
         self.parts: dict[int, list[np.ndarray]] = {}
         self.owner: dict[int, list[np.ndarray]] = {}
@@ -69,6 +87,7 @@ class _Packer:
         self.ids.append(key)
         for kind, hashes in kinds.items():
             if len(hashes):
+                self.held += len(hashes)
                 self.parts.setdefault(kind, []).append(hashes)
                 self.owner.setdefault(kind, []).append(np.full(len(hashes), len(self.ids) - 1, np.int32))
 
@@ -83,7 +102,8 @@ class _Packer:
             for b in np.flatnonzero(np.diff(edges)).tolist():
                 mine = order[edges[b] : edges[b + 1]]
                 who, counts = np.unique(owner[mine], return_counts=True)
-                out.append((b, kind, ids[who].T.tobytes(), counts.astype(np.uint32).tobytes(), hashes[mine].astype(self.width).tobytes()))
+                out.append((b, kind, ids[who].T.tobytes(), counts.astype(np.uint32).tobytes(), _packed(hashes[mine], self.width)))
+        self._start()
         return pd.DataFrame(out, columns=["bucket", "kind", "ids", "counts", "hashes"])
 
 
@@ -120,11 +140,11 @@ class _Smallest:
         return slot, self.hashes[slot] == hashes
 
 
-def _unpacked(batch: pd.DataFrame, width: type):
+def _unpacked(batch: pd.DataFrame, width: int):
     for bucket, kind, ids, counts, hashes in batch[["bucket", "kind", "ids", "counts", "hashes"]].itertuples(index=False, name=None):
         places, marks = np.frombuffer(ids, np.int64).reshape(2, -1)
         counts = np.frombuffer(counts, np.uint32).astype(np.int64)
-        yield bucket, kind, places, marks, counts, np.frombuffer(hashes, width)
+        yield bucket, kind, places, marks, counts, _wide(hashes, width)
 
 
 def _bits(places, marks, counts, bucket, kind, yes, out) -> None:
@@ -136,7 +156,7 @@ def _bits(places, marks, counts, bucket, kind, yes, out) -> None:
         out.append((int(places[i]), int(marks[i]), bucket, kind, np.packbits(yes[starts[i] : ends[i]]).tobytes()))
 
 
-def _meet(width: type):
+def _meet(width: int):
     """Reducer of both meetings: kind 0 references, kind 1 probes, kind 2 references again (if they want an answer)."""
 
     def run(batches):
@@ -226,7 +246,7 @@ def _tasks(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), place.alias("place"), F.xxhash64(text).alias("mark"), text.alias("text"))
 
 
-def _met(packed: DataFrame, buckets: int, width: type) -> DataFrame:
+def _met(packed: DataFrame, buckets: int, width: int) -> DataFrame:
     parts = max(1, min(buckets, pieces_of(packed.sparkSession)))
     dealt = packed.repartition(parts, "bucket").sortWithinPartitions("bucket", "kind")
     answers = dealt.mapInPandas(_meet(width), ANSWER)
@@ -243,19 +263,23 @@ def repeats(docs: DataFrame, window: int = WINDOW, per_bucket: int = PER_BUCKET)
     def probe(batches):
         reader = _Reader(window, buckets)
         for batch in batches:
-            packer = _Packer(buckets, np.uint32)
+            packer = _Packer(buckets, NARROW)
             for place, mark, text in zip(batch["place"], batch["mark"], batch["text"]):
                 rolling, blocks, _, _ = reader.short(text)
                 packer.add((place, mark), {0: blocks, 1: rolling, 2: blocks})
+                if packer.held > PACK_AT:
+                    yield packer.rows()
             yield packer.rows()
 
     def extend(batches):
         reader = _Reader(window, buckets)
         for batch in batches:
-            packer = _Packer(buckets, np.uint64)
+            packer = _Packer(buckets, WIDE)
             for place, mark, text, answers in zip(batch["place"], batch["mark"], batch["text"], batch["answers"]):
                 full, reference, candidate, _ = reader.whole(text, answers)
                 packer.add((place, mark), {0: full[reference], 1: full[candidate]})
+                if packer.held > PACK_AT:
+                    yield packer.rows()
             yield packer.rows()
 
     def cut(batches):
@@ -278,10 +302,11 @@ def repeats(docs: DataFrame, window: int = WINDOW, per_bucket: int = PER_BUCKET)
                 out.append((doc_id, len(words), int(inside.sum()), kept, turn.reshape(-1, 2).tolist()))
             yield pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept", "spans"]).astype({"doc_id": "Int64"})
 
-    met = _met(rows.select("place", "mark", "text").mapInPandas(probe, PACKED), buckets, np.uint32)
+    met = _met(rows.select("place", "mark", "text").mapInPandas(probe, PACKED), buckets, NARROW)
     asked = rows.join(met, ["place", "mark"], "left")
-    with_hits = asked.filter("answers is not null").select("place", "mark", "text", "answers")
-    found = _met(with_hits.mapInPandas(extend, PACKED), buckets, np.uint64).withColumnRenamed("answers", "found")
+    # The same columns as in the last step, so that the shuffle of the texts is used twice.
+    with_hits = asked.filter("answers is not null").select("doc_id", "place", "mark", "text", "answers")
+    found = _met(with_hits.mapInPandas(extend, PACKED), buckets, WIDE).withColumnRenamed("answers", "found")
     both = asked.join(found, ["place", "mark"], "left")
     return both.select("doc_id", "text", "answers", "found").mapInPandas(cut, "doc_id long, n_words long, n_removed long, kept string, spans array<array<int>>")
 
