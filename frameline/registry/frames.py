@@ -111,7 +111,7 @@ def _(t):
 
 
 @query("recompose_plan", "J11", f"""{cte('frames', 'probes')}, c AS (SELECT job_id, count(DISTINCT n) AS frames FROM frames GROUP BY job_id), p AS (SELECT job_id, cast({RATE} AS double) AS fps, audio_seconds FROM probes),
-v AS (SELECT c.job_id, frames, fps, audio_seconds, round(frames / fps, 4) AS video_seconds FROM c JOIN p ON p.job_id = c.job_id)
+v AS (SELECT p.job_id, coalesce(frames, 0) AS frames, fps, audio_seconds, round(coalesce(frames, 0) / nullif(fps, 0), 4) AS video_seconds FROM p LEFT JOIN c ON p.job_id = c.job_id)
 SELECT *, least(video_seconds, audio_seconds) AS output_seconds FROM v""")
 def _(t):
     probes = t("probes")
