@@ -41,7 +41,8 @@ BLOCK = 64
 SLAB = 1 << 16
 # Fixed value: the word pattern of the tokenizer, narrowed to lower-case ASCII.
 _ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
-CACHE = 500_000
+CACHE = 80_000  # pieces of a generation; two are kept
+SEEN = 1 << 22
 LONGEST_CACHED = 64
 
 
@@ -152,6 +153,8 @@ class WordBpe:
         self.name_bytes = {i: t.encode() for i, t in self.names.items()}
         self.numbers = {i: str(i) for i in self.names}
         self.known: dict[str, tuple[str, str]] = {}
+        self.older: dict[str, tuple[str, str]] = {}
+        self.seen = bytearray(SEEN)  # a piece is kept from its second time on, by hash
         self.window = self.merges.block + self.merges.lookahead
 
     def _words(self, piece: str) -> list[str]:
@@ -216,11 +219,16 @@ class WordBpe:
             if piece[-1] in ".," and piece[:-1].isalpha():  # letters and marks are words of their own
                 word, mark = self.piece_forms(piece[:-1]), self.piece_forms(piece[-1])
                 return f"{word[0]} {mark[0]}", f"{word[1]} {mark[1]}"
-            ids = list(self.encode_piece(piece))
-            got = " ".join([self.numbers[i] for i in ids]), "".join(self.decode_tokens(ids))
-            if len(piece) <= LONGEST_CACHED:
+            got = self.older.get(piece)
+            if got is None:
+                ids = list(self.encode_piece(piece))
+                got = " ".join([self.numbers[i] for i in ids]), "".join(self.decode_tokens(ids))
+            slot = hash(piece) & (SEEN - 1)
+            if not self.seen[slot]:
+                self.seen[slot] = 1
+            elif len(piece) <= LONGEST_CACHED:
                 if len(self.known) >= CACHE:
-                    self.known.clear()
+                    self.known, self.older, self.seen = {}, self.known, bytearray(SEEN)
                 self.known[piece] = got
         return got
 
