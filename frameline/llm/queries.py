@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from frameline.llm import bpe, chat, decontaminate, minhash, omh, secrets, substrings, toxicity, urls, warc
+from frameline.llm import bpe, chat, decontaminate, minhash, omh, pieces, secrets, substrings, toxicity, urls, warc
 from frameline.llm.common import read
 
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_warc_dictionary(spark, sf_dir):
@@ -54,5 +55,9 @@ def op10_order_minhash(spark, sf_dir):
     return omh.near_classes(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
 
 
-QUERIES = {q.__name__: q for q in (op1_warc_dictionary, op2_minhash_fingerprints, op3_bpe_transducer, op4_structural_secrets, op5_ftrl_toxicity, op6_url_reputation, op7_block_max_wand, op8_block_anchors, op9_chat_round_trip, op10_order_minhash)}
+def op12_piece_backtracking(spark, sf_dir):
+    return pieces.encode_decode(read(spark, sf_dir, "documents"), PIECES)
+
+
+QUERIES = {q.__name__: q for q in (op1_warc_dictionary, op2_minhash_fingerprints, op3_bpe_transducer, op4_structural_secrets, op5_ftrl_toxicity, op6_url_reputation, op7_block_max_wand, op8_block_anchors, op9_chat_round_trip, op10_order_minhash, op12_piece_backtracking)}
 SQL = {"op1_warc_dictionary": warc.SQL, "op6_url_reputation": urls.SQL, "op8_block_anchors": substrings.SQL, "op9_chat_round_trip": chat.SQL}
