@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from frameline.llm import bpe, chat, decontaminate, minhash, omh, pieces, secrets, substrings, toxicity, urls, warc
+from frameline.llm import bpe, chat, decontaminate, minhash, omh, pieces, secrets, spans, substrings, toxicity, urls, warc
 from frameline.llm.common import read
 
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
@@ -59,5 +60,9 @@ def op12_piece_backtracking(spark, sf_dir):
     return pieces.encode_decode(read(spark, sf_dir, "documents"), PIECES)
 
 
-QUERIES = {q.__name__: q for q in (op1_warc_dictionary, op2_minhash_fingerprints, op3_bpe_transducer, op4_structural_secrets, op5_ftrl_toxicity, op6_url_reputation, op7_block_max_wand, op8_block_anchors, op9_chat_round_trip, op10_order_minhash, op12_piece_backtracking)}
+def op13_token_spans(spark, sf_dir):
+    return spans.align_tokens(read(spark, sf_dir, "documents"), BYTES, PIECES)
+
+
+QUERIES = {q.__name__: q for q in (op1_warc_dictionary, op2_minhash_fingerprints, op3_bpe_transducer, op4_structural_secrets, op5_ftrl_toxicity, op6_url_reputation, op7_block_max_wand, op8_block_anchors, op9_chat_round_trip, op10_order_minhash, op12_piece_backtracking, op13_token_spans)}
 SQL = {"op1_warc_dictionary": warc.SQL, "op6_url_reputation": urls.SQL, "op8_block_anchors": substrings.SQL, "op9_chat_round_trip": chat.SQL}
