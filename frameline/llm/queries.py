@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from frameline.llm import bpe, chat, decontaminate, minhash, omh, pieces, secrets, spans, substrings, toxicity, urls, warc
+from frameline.llm import bpe, chat, decontaminate, minhash, omh, pieces, secrets, spans, spelling, substrings, toxicity, urls, warc
 from frameline.llm.common import read
 
 
@@ -56,6 +56,10 @@ def op10_order_minhash(spark, sf_dir):
     return omh.near_classes(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "class_size")
 
 
+def op11_spelling_partenum(spark, sf_dir):
+    return spelling.variants(read(spark, sf_dir, "documents"), every=97)
+
+
 def op12_piece_backtracking(spark, sf_dir):
     return pieces.encode_decode(read(spark, sf_dir, "documents"), PIECES)
 
@@ -64,5 +68,5 @@ def op13_token_spans(spark, sf_dir):
     return spans.align_tokens(read(spark, sf_dir, "documents"), BYTES, PIECES)
 
 
-QUERIES = {q.__name__: q for q in (op1_warc_dictionary, op2_minhash_fingerprints, op3_bpe_transducer, op4_structural_secrets, op5_ftrl_toxicity, op6_url_reputation, op7_block_max_wand, op8_block_anchors, op9_chat_round_trip, op10_order_minhash, op12_piece_backtracking, op13_token_spans)}
+QUERIES = {q.__name__: q for q in (op1_warc_dictionary, op2_minhash_fingerprints, op3_bpe_transducer, op4_structural_secrets, op5_ftrl_toxicity, op6_url_reputation, op7_block_max_wand, op8_block_anchors, op9_chat_round_trip, op10_order_minhash, op11_spelling_partenum, op12_piece_backtracking, op13_token_spans)}
 SQL = {"op1_warc_dictionary": warc.SQL, "op6_url_reputation": urls.SQL, "op8_block_anchors": substrings.SQL, "op9_chat_round_trip": chat.SQL}
