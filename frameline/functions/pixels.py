@@ -8,6 +8,24 @@ import math
 import numpy as np
 
 DIRECT_TAPS = 64
+# Quantisation steps of lightness and of colour at quality 50. The recipe reads them by columns.
+LIGHT_STEPS = (
+    (16, 11, 10, 16, 24, 40, 51, 61),
+    (12, 12, 14, 19, 26, 58, 60, 55),
+    (14, 13, 16, 24, 40, 57, 69, 56),
+    (14, 17, 22, 29, 51, 87, 80, 62),
+    (18, 22, 37, 56, 68, 109, 103, 77),
+    (24, 35, 55, 64, 81, 104, 113, 92),
+    (49, 64, 78, 87, 103, 121, 120, 101),
+    (72, 92, 95, 98, 112, 100, 103, 99),
+)
+COLOUR_STEPS = ((17, 18, 24, 47), (18, 21, 26, 66), (24, 26, 56, 99), (47, 66, 99, 99))
+COARSEST_STEP = 99
+# Lightness and the two colour differences of an RGB pixel, and the way back.
+TO_LIGHT = ((0.299, 0.587, 0.114), (-0.168736, -0.331264, 0.5), (0.5, -0.418688, -0.081312))
+FROM_LIGHT = ((1.0, 0.0, 1.402), (1.0, -0.344136, -0.714136), (1.0, 1.772, 0.0))
+MIDDLE = 128.0
+COEFFICIENT_DIGITS = 6
 
 
 def pad_bottom_right(img: np.ndarray, down: int, right: int, mode: str) -> np.ndarray:
@@ -177,3 +195,51 @@ def centred(kernel: np.ndarray, size: int = 21) -> np.ndarray:
 
 def pulse(size: int = 21) -> np.ndarray:
     return centred(np.ones((1, 1)), size)
+
+
+def jpeg_factor(quality: float) -> float:
+    """What the quantisation steps are multiplied by at a quality from 1 to 100."""
+    return (5000.0 / quality if quality < 50 else 200.0 - 2.0 * quality) / 100.0
+
+
+def _cosines(n: int = 8) -> np.ndarray:
+    """Orthonormal cosine transform as a matrix (frequency, place)."""
+    k, x = np.arange(n)[:, None], np.arange(n)
+    return np.cos((2 * x + 1) * k * math.pi / (2 * n)) * np.where(k == 0, math.sqrt(1 / n), math.sqrt(2 / n))
+
+
+def quantised_blocks(plane: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    """A plane (sides divisible by 8) through the cosine transform of its 8x8 blocks, quantisation and back.
+
+    Coefficients are cut to a few digits first, so that rounding at a half does not depend on the order of a sum. A step
+    of 0 (quality 100) leaves the coefficient as it is.
+    """
+    (h, w), basis = plane.shape, _cosines()
+    blocks = plane.reshape(h // 8, 8, w // 8, 8).transpose(0, 2, 1, 3) - MIDDLE
+    found = np.round(basis @ blocks @ basis.T, COEFFICIENT_DIGITS)
+    safe = np.where(steps > 0, steps, 1.0)
+    kept = np.where(steps > 0, np.round(found / safe) * steps, found)
+    return (basis.T @ kept @ basis + MIDDLE).transpose(0, 2, 1, 3).reshape(h, w)
+
+
+def jpeg(img: np.ndarray, quality: float) -> np.ndarray:
+    """What lossy block compression does to an image with values in [0, 1].
+
+    Of three channels (RGB) lightness and colour are parted and colour is averaged over 2x2 pixels; of any other number
+    each is lightness. Every 8x8 block is quantised in its cosine transform, and all of it is undone. Sides are padded
+    with 0 to a multiple of 16 and cut again. There is no entropy coding: nothing is stored.
+    """
+    h, w, channels = img.shape
+    factor = jpeg_factor(quality)
+    light = np.array(LIGHT_STEPS, dtype=float).T * factor
+    planes = np.pad(img * 255.0, ((0, -h % 16), (0, -w % 16), (0, 0)))
+    if channels != 3:
+        out = np.stack([quantised_blocks(planes[..., i], light) for i in range(channels)], axis=-1)
+    else:
+        colour = np.full((8, 8), float(COARSEST_STEP))
+        colour[:4, :4] = np.array(COLOUR_STEPS, dtype=float).T
+        planes = planes @ np.array(TO_LIGHT).T
+        small = planes[..., 1:].reshape(planes.shape[0] // 2, 2, planes.shape[1] // 2, 2, 2).mean(axis=(1, 3)) + MIDDLE
+        back = [quantised_blocks(small[..., i], colour * factor).repeat(2, axis=0).repeat(2, axis=1) - MIDDLE for i in (0, 1)]
+        out = np.stack([quantised_blocks(planes[..., 0], light), *back], axis=-1) @ np.array(FROM_LIGHT).T
+    return np.clip(out[:h, :w], 0, 255) / 255.0

@@ -6,7 +6,6 @@ same ones without a join. Degradation is one narrow pass over the images.
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -127,31 +126,37 @@ def resize(images: DataFrame, h: int, w: int, mode: str) -> DataFrame:
     return map_images(images, lambda img: P.resize(img, h, w, mode))
 
 
-def _generator(seed: int, *parts: object) -> np.random.Generator:
-    digest = hashlib.md5("/".join(map(str, (seed, *parts))).encode()).digest()
-    return np.random.default_rng(int.from_bytes(digest[:8], "big"))
+GRAY = (0.2989, 0.587, 0.114)  # fixed value: weights of a pixel's channels in gray noise
 
 
-def _noisy(img: np.ndarray, kind: str, level: float, gray: bool, rng: np.random.Generator) -> np.ndarray:
-    source = img @ np.array([0.2989, 0.587, 0.114]) if gray and img.shape[2] == 3 else img
+def _noisy(img: np.ndarray, kind: str, level: float, gray: bool, key: int) -> np.ndarray:
+    source = img @ np.array(GRAY) if gray and img.shape[2] == 3 else img
     source = source[..., None] if source.ndim == 2 else source
     if kind == "gaussian":
-        noise = rng.standard_normal(source.shape) * (level / 255.0)
+        noise = D.place_normals(key, source.size).reshape(source.shape) * (level / 255.0)
     else:
-        whole = np.clip((source * 255.0).round(), 0, 255) / 255.0
+        whole = np.clip(np.round(np.round(source * 255.0, 6)), 0, 255) / 255.0  # digits first: a half is a half on every machine
         steps = 2.0 ** math.ceil(math.log2(max(len(np.unique(whole)), 1)))
-        noise = (rng.poisson(whole * steps) / steps - whole) * level
+        noise = (D.place_poissons(key, whole * steps) / steps - whole) * level
     return np.clip(img + noise, 0, 1)
 
 
 def add_noise(images: DataFrame, stage: str = "first", seed: int = 0) -> DataFrame:
-    """Noise of the drawn kind and level, from a generator seeded by image and stage, clipped to [0, 1]."""
+    """Noise of the drawn kind and level, clipped to [0, 1]: normal, or Poisson in as many steps as the image has values.
+
+    Each place has its own draw, a hash of seed, image, stage and place; gray noise is one draw for all channels.
+    """
     def run(img: np.ndarray, image_id: int, draw: dict) -> np.ndarray:
-        return _noisy(img, draw[f"{stage}_noise"], draw[f"{stage}_level"], draw[f"{stage}_gray"], _generator(seed, image_id, stage))
+        return _noisy(img, draw[f"{stage}_noise"], draw[f"{stage}_level"], draw[f"{stage}_gray"], D.key32(seed, image_id, stage, "places"))
 
     return map_images(images, run, params=("image_id", "draw"))
 
 
+def compress(images: DataFrame, quality: str = "quality") -> DataFrame:
+    """Each image (values in [0, 1]) through lossy block compression at its own quality (a column, 1 to 100)."""
+    return map_images(images, lambda img, **row: P.jpeg(img, row[quality]), params=(quality,))
+
+
 def _kernel(draw: dict, stage: str) -> np.ndarray:
     size, kind = draw[f"{stage}_size"], draw[f"{stage}_kernel"]
     if kind == "sinc":
@@ -164,10 +169,10 @@ def degrade(images: DataFrame, scale: int = 4, seed: int = 0, jpeg_hook: Callabl
     """Low-quality version of each image (values in [0, 1], with its ``draw``), 1/scale of the size.
 
     Two rounds of blur, resize, noise and compression, then resize and final filter before or after the last
-    compression. ``jpeg_hook(img, quality)`` stands for the codec; without it that step changes nothing.
+    compression. ``jpeg_hook(img, quality)`` takes the place of the built-in block compression.
     ``gt_usm`` sharpens the source first.
     """
-    jpeg = jpeg_hook or (lambda img, quality: img)
+    jpeg = jpeg_hook or P.jpeg
 
     def run(img: np.ndarray, image_id: int, draw: dict) -> np.ndarray:
         h, w = img.shape[:2]
@@ -178,7 +183,7 @@ def degrade(images: DataFrame, scale: int = 4, seed: int = 0, jpeg_hook: Callabl
             factor, mode = draw[f"{stage}_factor"], draw[f"{stage}_mode"]
             shape = (max(int(h / base * factor), 1), max(int(w / base * factor), 1))
             out = P.resize(out, *shape, mode, factor if stage == "first" else None)
-            out = _noisy(out, draw[f"{stage}_noise"], draw[f"{stage}_level"], draw[f"{stage}_gray"], _generator(seed, image_id, stage))
+            out = _noisy(out, draw[f"{stage}_noise"], draw[f"{stage}_level"], draw[f"{stage}_gray"], D.key32(seed, image_id, stage, "places"))
             if stage == "first":
                 out = jpeg(np.clip(out, 0, 1), draw["first_jpeg"])
 

@@ -5,6 +5,8 @@ import math
 from pyspark.sql import functions as F
 
 from frameline.fixtures import cte
+from frameline.functions import draws
+from frameline.functions import pixels as P
 from frameline.operators import images as M
 from frameline.operators import synth as S
 from frameline.operators.image_rows import spread, to_pixels
@@ -112,11 +114,101 @@ def unit(t):
     return S.draw_params(t.images().withColumn("data", F.transform("data", lambda v: v / 255)))
 
 
-@query("add_noise", "D05")
+def rgb(t):
+    """Three of the four channels of the 4x4 images, in [0, 1]."""
+    return t.images("bgra").withColumn("data", F.filter("data", lambda v, i: i % 4 < 3)).withColumn("c", F.lit(3)).withColumn("data", F.transform("data", lambda v: v / 255))
+
+
+# Noise: the hash of every place, both distributions.
+
+HASH = f"""cast('0x' || substr(md5('0/' || image_id || '/' || stage || '/places'), 1, 8) AS ubigint) AS key"""
+
+
+def uniform_sql(name: str, stream: int) -> str:
+    """Lateral columns that end in ``name``: the uniform of a place (``place``, ``key``)."""
+    a, b = f"{name}_a", f"{name}_b"
+
+    def mix(x: str, at: str) -> str:
+        return (f"xor({x}, {x} >> 16) AS {at}1, ({at}1 * {draws.MIX_1}::ubigint) & {draws.WORD}::ubigint AS {at}2, xor({at}2, {at}2 >> 13) AS {at}3, "
+                f"({at}3 * {draws.MIX_2}::ubigint) & {draws.WORD}::ubigint AS {at}4, xor({at}4, {at}4 >> 16) AS {at}5")
+
+    counter = f"((place * 2 + {stream})::ubigint * {draws.STEP}::ubigint) & {draws.WORD}::ubigint AS {a}0"
+    return f"{counter}, {mix(f'{a}0', a)}, xor({a}5, key) AS {b}0, {mix(f'{b}0', b)}, ({b}5::double + 0.5::double) / 4294967296::double AS {name}"
+
+
+def noise_sql(pixels: str, stage: S.Stage, name: str, w: int, c: int) -> str:
+    d = lambda n: u(name, n)
+    gaussian = f"{d('noise')} < {stage.gaussian_prob}::double"
+    weights = " ".join(f"WHEN {i} THEN {x}::double" for i, x in enumerate(S.GRAY))
+    return f"""px AS (SELECT image_id, y, x, c, v / 255 AS v FROM ({pixels}) q),
+dr AS (SELECT *, '{name}' AS stage, {gaussian} AS gaussian, ({d('gray')} < {stage.gray_prob}::double) AND {c} = 3 AS gray, CASE WHEN {gaussian} THEN {span(d('level'), *stage.noise_range)} ELSE {span(d('level'), *stage.poisson_range)} END AS level FROM (SELECT DISTINCT image_id FROM px) i),
+so AS (SELECT image_id, y, x, c AS ch, v AS s, y * {w * c} + x * {c} + c AS place FROM px JOIN dr USING (image_id) WHERE NOT gray
+  UNION ALL SELECT image_id, y, x, -1, sum(v * CASE c {weights} ELSE 0::double END), y * {w} + x FROM px JOIN dr USING (image_id) WHERE gray GROUP BY image_id, y, x),
+wh AS (SELECT so.*, dr.gaussian, dr.level, dr.stage, greatest(0, least(255, round_even(round(s * 255, 6), 0))) / 255 AS whole FROM so JOIN dr USING (image_id)),
+st AS (SELECT image_id, pow(2::double, ceil(log2(count(DISTINCT whole)))) AS steps FROM wh GROUP BY image_id),
+un AS (SELECT wh.*, st.steps, whole * steps AS mean, {HASH}, {uniform_sql('u1', 0)}, {uniform_sql('u2', 1)} FROM wh JOIN st USING (image_id)),
+pm AS (SELECT mean, k, CASE WHEN mean = 0 THEN 1::double ELSE exp(k * ln(mean) - mean - lgamma(k + 1::double)) END AS p FROM (SELECT DISTINCT mean FROM un WHERE NOT gaussian) m, range(0, 600) r(k) WHERE k < mean + 16 * sqrt(mean) + 32 AND (mean > 0 OR k = 0)),
+cd AS (SELECT mean, k, sum(p) OVER (PARTITION BY mean ORDER BY k) AS upto FROM pm),
+po AS (SELECT un.image_id, un.place, count(*) FILTER (WHERE cd.upto < un.u1) AS k FROM un JOIN cd ON cd.mean = un.mean WHERE NOT gaussian AND un.mean > 0 GROUP BY 1, 2),
+no AS (SELECT un.image_id, un.y, un.x, un.ch, CASE WHEN gaussian THEN sqrt(-2 * ln(u1)) * cos(2 * pi() * u2) * (level / 255) ELSE (coalesce(po.k, 0) / steps - whole) * level END AS noise FROM un LEFT JOIN po ON po.image_id = un.image_id AND po.place = un.place AND NOT un.gaussian)"""
+
+
+@query("add_noise", "D05", f"{cte('pixels')}, {noise_sql('SELECT * FROM pixels', RECIPE.first, 'first', 8, 1)} SELECT image_id, y, x, px.c, round(greatest(0, least(1, v + noise)), 6) AS v FROM px JOIN no USING (image_id, y, x)")
 def _(t):
     return rounded(to_pixels(S.add_noise(unit(t))))
 
 
+@query("add_noise_colour", "D05", f"{cte('bgra')}, {noise_sql('SELECT * FROM bgra WHERE c < 3', RECIPE.second, 'second', 4, 3)} SELECT image_id, y, x, px.c, round(greatest(0, least(1, v + noise)), 6) AS v FROM px JOIN no USING (image_id, y, x) WHERE no.ch IN (-1, px.c)")
+def _(t):
+    return rounded(to_pixels(S.add_noise(S.draw_params(rgb(t)), "second")))
+
+
+# Block compression: sums of cosines, on images with odd sides too.
+
+QUALITY = "(CASE image_id % 3 WHEN 0 THEN 10 WHEN 1 THEN 50 ELSE 90 END)::double"
+
+
+def steps_sql() -> str:
+    rows = [(0, v, h, P.LIGHT_STEPS[h][v]) for v in range(8) for h in range(8)]  # read by columns
+    rows += [(1, v, h, P.COLOUR_STEPS[h][v] if max(v, h) < 4 else P.COARSEST_STEP) for v in range(8) for h in range(8)]
+    return f"(VALUES {', '.join(map(str, rows))}) q(colour, a, b, step)"
+
+
+def blocks_sql(planes: str) -> str:
+    """``planes`` (image_id, k, y, x, v): one 8x8 block each, with ``v`` in [0, 255]; gives ``back`` of the same form."""
+    return f"""bs AS (SELECT cast(f AS int) AS f, cast(z AS int) AS z, cos((2 * z + 1) * f * pi() / 16) * sqrt((CASE f WHEN 0 THEN 1 ELSE 2 END)::double / 8) AS w FROM range(0, 8) a(f), range(0, 8) b(z)),
+co AS (SELECT image_id, k, a.f AS a, b.f AS b, round(sum(a.w * b.w * (v - 128)), 6) AS found FROM ({planes}) p JOIN bs a ON a.z = p.y JOIN bs b ON b.z = p.x GROUP BY ALL),
+ke AS (SELECT co.image_id, k, co.a, co.b, step * (CASE WHEN {QUALITY} < 50 THEN 5000::double / {QUALITY} ELSE 200::double - 2 * {QUALITY} END / 100) AS by_, round_even(found / by_, 0) * by_ AS kept FROM co JOIN {steps_sql()} ON q.colour = least(co.k, 1) AND q.a = co.a AND q.b = co.b),
+back AS (SELECT image_id, k, a.z AS y, b.z AS x, sum(a.w * b.w * kept) + 128 AS v FROM ke JOIN bs a ON a.f = ke.a JOIN bs b ON b.f = ke.b GROUP BY ALL)"""
+
+
+GRID = "(SELECT cast(i AS int) AS y, cast(j AS int) AS x FROM range(0, 16) a(i), range(0, 16) b(j)) g"
+QUALITIES = F.when(F.col("image_id") % 3 == 0, 10.0).when(F.col("image_id") % 3 == 1, 50.0).otherwise(90.0)
+
+
+@query("jpeg_blocks", "D06", f"""{cte('pixels')}, px AS (SELECT * FROM pixels WHERE image_id % 2 = 0 OR (y < 7 AND x < 5)),
+{blocks_sql(f"SELECT i.image_id, 0 AS k, g.y, g.x, coalesce(px.v, 0) AS v FROM (SELECT DISTINCT image_id FROM px) i CROSS JOIN {GRID} LEFT JOIN px ON px.image_id = i.image_id AND px.y = g.y AND px.x = g.x WHERE g.y < 8 AND g.x < 8")}
+SELECT px.image_id, px.y, px.x, px.c, round(greatest(0, least(255, back.v)) / 255 + 1e-9::double, 6) AS v FROM px JOIN back ON back.image_id = px.image_id AND back.y = px.y AND back.x = px.x""")
+def _(t):
+    odd = F.col("image_id") % 2 == 1
+    cut = t.images().withColumn("data", F.transform(F.filter("data", lambda v, i: ~odd | ((i < 56) & (i % 8 < 5))), lambda v: v / 255))
+    cut = cut.withColumn("h", F.when(odd, 7).otherwise(8)).withColumn("w", F.when(odd, 5).otherwise(8))
+    return rounded_off_ties(to_pixels(S.compress(cut.withColumn("quality", QUALITIES))))
+
+
+TO_LIGHT = " ".join(f"WHEN {k} THEN CASE c WHEN 0 THEN {a}::double WHEN 1 THEN {b}::double ELSE {c}::double END" for k, (a, b, c) in enumerate(P.TO_LIGHT))
+FROM_LIGHT = " ".join(f"WHEN {c} THEN CASE k WHEN 0 THEN {x}::double WHEN 1 THEN {y}::double ELSE {z}::double END" for c, (x, y, z) in enumerate(P.FROM_LIGHT))
+
+
+@query("jpeg_colour", "D06", f"""{cte('bgra')}, px AS (SELECT * FROM bgra WHERE c < 3), pl AS (SELECT image_id, cast(n AS int) AS k, y, x, sum(v * CASE n {TO_LIGHT} END) AS v FROM px, range(0, 3) r(n) GROUP BY ALL),
+full_ AS (SELECT i.image_id, i.k, g.y, g.x, coalesce(pl.v, 0) AS v FROM (SELECT DISTINCT image_id, k FROM pl) i CROSS JOIN {GRID} LEFT JOIN pl ON pl.image_id = i.image_id AND pl.k = i.k AND pl.y = g.y AND pl.x = g.x),
+{blocks_sql("SELECT image_id, k, y, x, v FROM full_ WHERE k = 0 AND y < 8 AND x < 8 UNION ALL SELECT image_id, k, y // 2, x // 2, avg(v) + 128 FROM full_ WHERE k > 0 GROUP BY ALL")}
+SELECT px.image_id, px.y, px.x, px.c, round(greatest(0, least(255, sum((back.v - CASE k WHEN 0 THEN 0 ELSE 128 END) * CASE px.c {FROM_LIGHT} END))) / 255 + 1e-9::double, 6) AS v
+FROM px JOIN back ON back.image_id = px.image_id AND back.y = CASE k WHEN 0 THEN px.y ELSE px.y // 2 END AND back.x = CASE k WHEN 0 THEN px.x ELSE px.x // 2 END GROUP BY px.image_id, px.y, px.x, px.c""")
+def _(t):
+    return rounded_off_ties(to_pixels(S.compress(rgb(t).withColumn("quality", QUALITIES))))
+
+
 def large(t):
     scaled = t.images().withColumn("data", F.transform("data", lambda v: v / 255))
     return M.upsample_nearest(spread(scaled, t.spark.sparkContext.defaultParallelism), 4)

@@ -115,7 +115,7 @@ def test_degrade_shape_hook_and_repeat(spark):
     rng = np.random.default_rng(5)
     df = S.draw_params(table(spark, *[rng.random((32, 48, 3)) for _ in range(4)]), seed=9)
     calls = S.degrade(df, jpeg_hook=lambda img, q: img * 0.0 if not 30 <= q <= 95 else img)
-    once, twice = arrays(S.degrade(df)), arrays(calls.repartition(3))
+    once, twice = arrays(S.degrade(df, jpeg_hook=lambda img, q: img)), arrays(calls.repartition(3))
     assert all(a.shape == (8, 12, 3) and a.min() >= 0 and a.max() <= 1 for a in once.values())
     assert all(np.array_equal(once[i], twice[i]) for i in once)
     flat = arrays(S.degrade(df, gt_usm=False))
@@ -129,6 +129,47 @@ def test_noise_is_seeded_and_clipped(spark):
     assert any(not np.allclose(a[i], 0.5) for i in a)
 
 
+def test_noise_has_the_drawn_moments(spark):
+    """Many places: mean 0 and the drawn spread for normal noise, mean 0 and the variance of a Poisson count for the other."""
+    from frameline.functions import draws as D
+
+    z = D.place_normals(D.key32(1, 2, "x"), 200_000)
+    assert abs(z.mean()) < 0.01 and abs(z.std() - 1) < 0.01 and abs((z**3).mean()) < 0.05
+    for mean in (0.25, 3.0, 40.0, 256.0):
+        k = D.place_poissons(D.key32(1, 2, mean), np.full((400, 500), mean))
+        assert abs(k.mean() - mean) < 0.02 * math.sqrt(mean) and abs(k.var() / mean - 1) < 0.02
+    assert not D.place_poissons(5, np.zeros((3, 3))).any()
+    u = [D.place_uniforms(k, 50_000, s) for k in (1, 2) for s in (0, 1)]
+    assert max(abs(np.corrcoef(a, b)[0, 1]) for i, a in enumerate(u) for b in u[:i]) < 0.02
+
+
+def test_noise_of_a_place_does_not_depend_on_its_batch(spark):
+    df = S.draw_params(table(spark, *[np.full((5, 3 + i, 3), 0.1 * i) for i in range(7)]))
+    whole = arrays(S.add_noise(df, "second"))
+    for i in range(7):
+        assert np.array_equal(arrays(S.add_noise(df.filter(F.col("image_id") == i), "second"))[i], whole[i])
+
+
+def test_block_compression():
+    rng = np.random.default_rng(5)
+    for shape in ((16, 16, 3), (17, 5, 3), (1, 1, 1), (33, 40, 1), (9, 9, 4)):
+        img = rng.random(shape)
+        out = {q: P.jpeg(img, q) for q in (5.0, 49.9, 50.0, 95.0, 100.0)}
+        assert all(o.shape == shape and o.min() >= 0 and o.max() <= 1 for o in out.values())
+        errors = [float(np.abs(out[q] - img).mean()) for q in (5.0, 50.0, 95.0)]
+        assert errors == sorted(errors, reverse=True)
+        if shape[2] != 3:
+            assert np.allclose(out[100.0], img)  # nothing is quantised at the highest quality
+    flat = np.full((16, 24, 3), 128 / 255)
+    assert np.allclose(P.jpeg(flat, 90.0), flat, atol=1e-6)
+
+
+def test_degradation_compresses_by_default(spark):
+    df = S.draw_params(table(spark, *[np.random.default_rng(i).random((24, 24, 3)) for i in range(3)]))
+    plain, without = arrays(S.degrade(df)), arrays(S.degrade(df, jpeg_hook=lambda img, q: img))
+    assert all(plain[i].shape == (6, 6, 3) and not np.array_equal(plain[i], without[i]) for i in plain)
+
+
 def test_pool_must_fit(spark):
     with pytest.raises(ValueError):
         S.shuffle_pairs(spark.range(3).withColumnRenamed("id", "image_id"), 10, 4)
