@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import operator
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -43,16 +44,17 @@ from frameline.llm.common import keep, texts
 from frameline.llm.pieces import SPACE, read_model
 
 LOW = 20  # bits of a B id in a pair
-STORE = 120_000  # stretches of a generation; two are kept
+STORE = 250_000  # stretches of a generation; two are kept
 LONGEST_STORED = 48
 RUN = 1 << 17  # characters that go through the tokenizers at once
 BLOCK = 1 << 21  # characters of texts whose results are held at once
 SHARD = 4_000_000  # pairs of a broadcast (17 bytes each)
 _ANCHOR = "a"  # a first stretch, so that no run starts with a space of its own
 _STRETCH = re.compile(r".+?(?:(?<=\S)(?= )|\Z)", re.DOTALL)
+_PIECE = operator.attrgetter("id", "end")
 _NOT_REGULAR = re.compile(r"\s ")
 
-Record = tuple[int, int, int, str, bytes]  # tokens of A, of B, groups, groups as text, pairs of the links
+Record = tuple[int, int, int, str, bytes]  # tokens of A, of B, groups, groups as text (each with its end mark), pairs of the links
 
 
 class Aligner:
@@ -79,6 +81,9 @@ class Aligner:
         self.b_bytes = [bytes([int(name[3:5], 16)]) if self.b.is_byte(i) else name.replace(SPACE, " ").encode() for i, name in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))]
         self.b_size = np.array([len(b) for b in self.b_bytes])
         self.b_sure = np.array([not self.b.is_byte(i) for i in range(len(self.b_bytes))])
+        # names with what may follow them in the list of groups
+        self.a_more, self.a_last = (np.array([f"{i}{mark}" for i in range(len(self.a_bytes))], object) for mark in ",|")
+        self.b_more, self.b_last = (np.array([f"{i}{mark}" for i in range(len(self.b_bytes))], object) for mark in ",;")
         self.store: dict[str, Record | None] = {}
         self.older: dict[str, Record | None] = {}
 
@@ -90,12 +95,12 @@ class Aligner:
         raw = full.encode()
         encoding = self.a.encode(full, add_special_tokens=False)
         a_ids = np.array(encoding.ids, np.int64)
-        a_ends = _refined(_byte_places(full, raw)[[end for _, end in encoding.offsets]], a_ids, self.a_size, self.a_sure)
+        a_ends = _refined(_byte_places(full, raw)[np.array(encoding.offsets, np.int64).reshape(-1, 2)[:, 1]], a_ids, self.a_size, self.a_sure)
         pieces = self.b.encode(text, return_type="proto").pieces
-        b_ids = np.array([p.id for p in pieces], np.int64)
-        b_ends = _refined(np.array([p.end for p in pieces], np.int64) + 1, b_ids, self.b_size, self.b_sure)
-        a_bytes, b_bytes = self.a_bytes, self.b_bytes
-        if b"".join([a_bytes[i] for i in a_ids.tolist()]) != raw or b"".join([b_bytes[i] for i in b_ids.tolist()]) != raw:
+        b_read = np.array(list(map(_PIECE, pieces)), np.int64).reshape(-1, 2)
+        b_ids = b_read[:, 0]
+        b_ends = _refined(b_read[:, 1] + 1, b_ids, self.b_size, self.b_sure)
+        if b"".join(map(self.a_bytes.__getitem__, encoding.ids)) != raw or b"".join(map(self.b_bytes.__getitem__, b_ids.tolist())) != raw:
             return None
         return a_ids, a_ends, b_ids, b_ends
 
@@ -114,12 +119,16 @@ class Aligner:
         cut = np.intersect1d(a_ends, b_ends, assume_unique=True)
         stops = np.cumsum([len(s.encode()) + 1 for s in [_ANCHOR, *run]])
         cuts, links = np.searchsorted(cut, stops, "right").tolist(), np.searchsorted(at, stops, "right").tolist()
-        a_to, b_to = [0, *np.searchsorted(a_ends, cut, "right").tolist()], [0, *np.searchsorted(b_ends, cut, "right").tolist()]
-        a_text, b_text, out = list(map(str, a_ids.tolist())), list(map(str, b_ids.tolist())), []
+        a_to, b_to = np.searchsorted(a_ends, stops, "right").tolist(), np.searchsorted(b_ends, stops, "right").tolist()
+        names = np.concatenate([
+            np.where(np.isin(a_ends, cut, assume_unique=True), self.a_last[a_ids], self.a_more[a_ids]),
+            np.where(np.isin(b_ends, cut, assume_unique=True), self.b_last[b_ids], self.b_more[b_ids]),
+        ])
+        group = np.concatenate([np.searchsorted(cut, a_ends) * 2, np.searchsorted(cut, b_ends) * 2 + 1])  # A's tokens of a group come first
+        names, raw, out = names[np.argsort(group, kind="stable")].tolist(), pairs.tobytes(), []
         for i in range(1, len(stops)):
-            first, last = cuts[i - 1], cuts[i]
-            groups = [",".join(a_text[a_to[g] : a_to[g + 1]]) + "|" + ",".join(b_text[b_to[g] : b_to[g + 1]]) for g in range(first, last)]
-            out.append((a_to[last] - a_to[first], b_to[last] - b_to[first], last - first, ";".join(groups), pairs[links[i - 1] : links[i]].tobytes()))
+            a, b, first, last = a_to[i - 1], b_to[i - 1], a_to[i], b_to[i]
+            out.append((first - a, last - b, cuts[i] - cuts[i - 1], "".join(names[a + b : first + last]), raw[links[i - 1] * 8 : links[i] * 8]))
         return out
 
     # many texts ----------------------------------------------------------------------------------------------------
@@ -178,7 +187,7 @@ class Aligner:
                 yield 0, 0, 0, "", np.zeros(0, np.int64)
                 continue
             a, b, groups, listed, links = zip(*got)
-            yield sum(a), sum(b), sum(groups), hashlib.sha256(";".join(listed).encode()).hexdigest(), np.frombuffer(b"".join(links), np.int64)
+            yield sum(a), sum(b), sum(groups), hashlib.sha256("".join(listed)[:-1].encode()).hexdigest(), np.frombuffer(b"".join(links), np.int64)
 
 
 def _is_text(raw: bytes) -> bool:
