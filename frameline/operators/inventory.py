@@ -25,6 +25,19 @@ LIFECYCLE_RULES = (
     ("frames/", "EXPIRE", 15),
     ("temp/", "EXPIRE", 1),
 )
+# Rules of all stores as (store, prefix, action, days). ABORT is for uploads that were never completed.
+STORE_RULES = (
+    ("source", "", "IA", 30),
+    ("source", "", "GLACIER", 90),
+    ("source", "", "DEEP_ARCHIVE", 180),
+    ("source", "", "ABORT", 1),
+    *(("processed", *rule) for rule in LIFECYCLE_RULES),
+    ("processed", "", "ABORT", 1),
+    ("final", "", "IA", 30),
+    ("final", "", "GLACIER", 90),
+    ("final", "", "ABORT", 1),
+)
+STORE_RULE = "bucket string, prefix string, action string, days int"
 # Later actions replace earlier ones.
 ACTION_RANK = {"IA": 1, "GLACIER": 2, "DEEP_ARCHIVE": 3, "EXPIRE": 4}
 
@@ -120,6 +133,40 @@ def lifecycle_action(objects: DataFrame, now: Column, rules: Iterable[tuple[str,
     return objects.withColumn("age_days", age).withColumn("action", F.coalesce(furthest["action"], F.lit("NONE")))
 
 
+def store_lifecycle(objects: DataFrame, rules: DataFrame, now: Column, any_part: bool = True) -> DataFrame:
+    """Storage action due per object at ``now`` under a table of rules for all stores.
+
+    ``objects`` have ``bucket``, ``key``, ``last_modified`` and may have ``incomplete`` (an upload that was begun and not
+    ended: only ABORT applies to it, and only to it). ``rules`` have the columns of ``STORE_RULE``; of the actions that are
+    due the furthest wins, ``expires_after`` is the lowest expiry of all rules that match, due or not. A null bucket or
+    key, and a bucket without rules, give NONE. With ``any_part`` a prefix may start at any path part.
+
+    A prefix join without an exploded row: the rules of a bucket become one map from prefix to what is due when, and the
+    beginnings of a key that are as long as some prefix are looked up in it. The rules of a store are bounded by the store
+    itself (a thousand a bucket), so the side that is joined has a bounded row for each bucket and Spark broadcasts it by
+    its size; objects are neither shuffled nor multiplied.
+    """
+    ranks = F.create_map(*[F.lit(x) for pair in {**ACTION_RANK, "ABORT": 0}.items() for x in pair])
+    step = F.struct(ranks[F.col("action")].alias("rank"), "action", "days")
+    of_prefix = rules.groupBy("bucket", "prefix").agg(F.collect_list(step).alias("steps"))
+    of_bucket = of_prefix.groupBy("bucket").agg(
+        F.map_from_entries(F.collect_list(F.struct("prefix", "steps"))).alias("_rules"), F.collect_set(F.length("prefix")).alias("_sizes")
+    )
+    key = F.coalesce("key", F.lit(""))
+    parts = F.split(key, "/")
+    starts = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "/")) if any_part else F.array(key)
+    beginnings = F.array_distinct(F.flatten(F.transform(starts, lambda s: F.transform(F.filter("_sizes", lambda n: n <= F.length(s)), lambda n: F.substring(s, F.lit(1), n)))))
+    steps = F.flatten(F.filter(F.transform(beginnings, lambda b: F.try_element_at("_rules", b)), lambda x: x.isNotNull()))
+    age = F.floor((F.unix_seconds(now.cast("timestamp")) - F.unix_seconds(F.col("last_modified").cast("timestamp"))) / 86400)
+    incomplete = F.coalesce("incomplete", F.lit(False)) if "incomplete" in objects.columns else F.lit(False)
+    matching = F.filter(F.col("_steps"), lambda x: incomplete == (x["action"] == "ABORT"))
+    furthest = F.array_max(F.filter(matching, lambda x: F.col("age_days") >= x["days"]))
+    lowest = F.array_min(F.transform(F.filter(matching, lambda x: x["action"] == "EXPIRE"), lambda x: x["days"]))
+    found = objects.withColumn("age_days", age).join(of_bucket, "bucket", "left")
+    found = found.withColumn("_steps", F.when(F.col("key").isNotNull(), F.coalesce(steps, F.array().cast("array<struct<rank:int,action:string,days:int>>"))))
+    return found.select(*objects.columns, "age_days", F.coalesce(furthest["action"], F.lit("NONE")).alias("action"), lowest.alias("expires_after"))
+
+
 def maintenance_report(**kinds: DataFrame) -> DataFrame:
     """All findings under one another: ``kind, id, bytes`` per named input having ``id, bytes``."""
     report = None

@@ -67,18 +67,52 @@ def queue_dashboard(points: DataFrame, period: str, panels: dict[str, str] | Non
     return grouped.select("queue", F.col("_w.start").alias("period_start"), *[n.lower() for n in panels])
 
 
+RULE = "alarm string, name string, comparison string, threshold double, periods int"
+
+
+def rule_breach(value: Column) -> Column:
+    """Whether a value breaches the rule in the columns ``comparison`` and ``threshold``; unknown comparisons never do."""
+    hit = None
+    for name, holds in COMPARISONS.items():
+        test = holds(value, F.col("threshold"))
+        hit = F.when(F.col("comparison") == name, test) if hit is None else hit.when(F.col("comparison") == name, test)
+    return F.coalesce(hit, F.lit(False))
+
+
+def _with_state(rows: DataFrame, series: Sequence[str], period_seconds: int, periods: Column) -> DataFrame:
+    """``state`` from ``breach``: ALARM where at least ``periods`` periods in a row, this one the last, breach.
+
+    Islands of breaches are found in one pass over a series in time order (lag and running maximum share one sort): an
+    island starts behind a period that does not breach, or at the first period behind a gap.
+    """
+    along = Window.partitionBy(*series).orderBy("_at")
+    timed = rows.withColumn("_at", F.unix_seconds(F.col("period_start").cast("timestamp"))).withColumn("_before", F.lag("_at").over(along))
+    gap = F.col("_before").isNull() | (F.col("_before") < F.col("_at") - period_seconds)
+    starts = F.when(~F.col("breach"), F.col("_at") + period_seconds).when(gap, F.col("_at"))
+    timed = timed.withColumn("_start", F.max(starts).over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    run = F.when(F.col("breach"), (F.col("_at") - F.col("_start")) / period_seconds + 1).otherwise(0)
+    return timed.withColumn("state", F.when(run >= periods, "ALARM").otherwise("OK")).drop("_at", "_before", "_start")
+
+
 def evaluate_alarms(stats: DataFrame, keys: Sequence[str], period_seconds: int, comparison: str, threshold: float, periods: int) -> DataFrame:
-    """State per period: ``ALARM`` when this and the previous ``periods - 1`` periods all breach.
+    """State per period under one rule: ``ALARM`` when this and the previous ``periods - 1`` periods all breach.
 
     A missing period breaks the run. Input is one row per key and period, so a window holds at most as many
     rows as there are periods in the time span, whatever the number of raw points.
     """
     breach = COMPARISONS[comparison](F.col("stat_value"), F.lit(threshold))
-    at = F.unix_seconds(F.col("period_start").cast("timestamp"))
-    recent = Window.partitionBy(*keys).orderBy("_at").rangeBetween(-(periods - 1) * period_seconds, 0)
-    rows = stats.withColumn("breach", F.coalesce(breach, F.lit(False))).withColumn("_at", at)
-    run = F.count_if("breach").over(recent)
-    return rows.withColumn("state", F.when(run >= periods, "ALARM").otherwise("OK")).drop("_at")
+    return _with_state(stats.withColumn("breach", F.coalesce(breach, F.lit(False))), keys, period_seconds, F.lit(periods))
+
+
+def evaluate_rules(stats: DataFrame, rules: DataFrame, keys: Sequence[str], period_seconds: int, metric: str = "name") -> DataFrame:
+    """State per alarm, series and period for a whole table of rules (columns of ``RULE``) in one pass.
+
+    A rule watches every series whose ``metric`` column is its ``name``; ``keys`` (``metric`` among them) make a series.
+    Rows are ``stats`` with ``alarm``, ``periods``, ``breach`` and ``state``; a metric without a rule has none.
+    """
+    watched = rules.select("alarm", F.col("name").alias(metric), "comparison", "threshold", "periods")
+    rows = stats.join(watched, metric).withColumn("breach", rule_breach(F.col("stat_value")))
+    return _with_state(rows, ["alarm", *keys], period_seconds, F.col("periods")).drop("comparison", "threshold")
 
 
 def alarm_transitions(states: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -101,6 +101,20 @@ def _(t):
     return I.lifecycle_action(t("objects"), ts("1998-06-15 12:00:00"))
 
 
+STORED = "SELECT *, CASE size % 3 WHEN 0 THEN 'source' WHEN 1 THEN 'processed' ELSE 'final' END AS bucket, size % 7 = 0 AS incomplete FROM objects"
+ALL_RULES = ", ".join(f"('{b}', '{p}', '{a}', {d}, {({**I.ACTION_RANK, 'ABORT': 0})[a]})" for b, p, a, d in I.STORE_RULES)
+
+
+@query("store_lifecycle", "P23", f"""{cte('objects', stored=STORED)}, rules(bucket, prefix, action, days, rank) AS (VALUES {ALL_RULES}),
+aged AS (SELECT *, cast(floor((epoch_us(TIMESTAMP '1998-06-15 12:00:00') - epoch_us(last_modified)) / 1e6 / 86400) AS bigint) AS age_days FROM stored),
+hit AS (SELECT a.bucket, a.key, a.age_days, r.action, r.days, r.rank FROM aged a JOIN rules r ON r.bucket = a.bucket AND (r.prefix = '' OR starts_with(key, r.prefix) OR contains(key, '/' || r.prefix)) AND (r.action = 'ABORT') = incomplete),
+best AS (SELECT key, max(CASE WHEN age_days >= days THEN rank END) AS rank, min(CASE WHEN action = 'EXPIRE' THEN days END) AS expires_after FROM hit GROUP BY key)
+SELECT a.*, coalesce((SELECT DISTINCT action FROM rules r WHERE r.rank = b.rank), 'NONE') AS action, b.expires_after FROM aged a LEFT JOIN best b ON b.key = a.key""")
+def _(t):
+    stored = t("objects").selectExpr("*", "CASE size % 3 WHEN 0 THEN 'source' WHEN 1 THEN 'processed' ELSE 'final' END AS bucket", "size % 7 = 0 AS incomplete")
+    return I.store_lifecycle(stored, t.spark.createDataFrame(I.STORE_RULES, I.STORE_RULE), ts("1998-06-15 12:00:00"))
+
+
 @query("maintenance_report", "U01", f"""{cte('objects', 'jobs', 'volumes', 'snapshots')}, {OWNED}, {EXPIRED}
 SELECT 'expired' AS kind, key AS id, size AS bytes FROM owned WHERE job_id IN (SELECT job_id FROM expired)
 UNION ALL SELECT 'orphan', key, size FROM owned WHERE job_id NOT IN (SELECT job_id FROM jobs)

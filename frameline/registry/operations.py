@@ -153,6 +153,34 @@ def _(t):
     return plain(states(t, 6, 30.0, "LessThanThreshold"))
 
 
+# 25 rules: for each metric, three comparisons, and runs of 1, 2 and 6 periods that the data reach.
+WATCHED = ("CPUUtilization", "Invocations", "duration", "frame_count", "error_count")
+KINDS = (("high", "GreaterThanThreshold", 20.0, 1), ("raised", "GreaterThanThreshold", 10.0, 2), ("steady", "GreaterThanOrEqualToThreshold", 5.0, 6),
+         ("low", "LessThanThreshold", 25.0, 2), ("idle", "LessThanThreshold", 60.0, 6))
+ALARM_RULES = [(f"{kind}-{name}", name, comparison, threshold, periods) for name in WATCHED for kind, comparison, threshold, periods in KINDS]
+SIGNS = {"GreaterThanThreshold": ">", "LessThanThreshold": "<", "GreaterThanOrEqualToThreshold": ">="}
+
+
+def alarm_rules(t):
+    return t.spark.createDataFrame(ALARM_RULES, M.RULE)
+
+
+def rules_sql(stats: str = "stats", seconds: int = 21600) -> str:
+    """Named selects that end in ``ruled``: every rule on every series of its metric."""
+    series, breach = "alarm, name, phase", " ".join(f"WHEN '{c}' THEN stat_value {sign} threshold" for c, sign in SIGNS.items())
+    return f"""rules(alarm, name, comparison, threshold, periods) AS (VALUES {', '.join(map(str, ALARM_RULES))}),
+joined AS (SELECT s.*, alarm, periods, CASE comparison {breach} END AS breach FROM {stats} s JOIN rules r ON r.name = s.name),
+gaps AS (SELECT *, lag(period_start) OVER (PARTITION BY {series} ORDER BY period_start) AS before FROM joined),
+islands AS (SELECT *, sum(CASE WHEN NOT breach OR before IS NULL OR epoch(period_start) - epoch(before) > {seconds} THEN 1 ELSE 0 END) OVER (PARTITION BY {series} ORDER BY period_start) AS island FROM gaps),
+ruled AS (SELECT * EXCLUDE (before, island), CASE WHEN count(*) FILTER (WHERE breach) OVER (PARTITION BY {series}, island ORDER BY period_start) >= periods THEN 'ALARM' ELSE 'OK' END AS state FROM islands)"""
+
+
+@query("evaluate_rules", "W01", f"{cte('metrics', **STATS)}, {rules_sql()} SELECT * FROM ruled")
+def _(t):
+    stats = M.metric_stats(t("metrics"), "6 hours", "Average", ["name", "phase"])
+    return plain(M.evaluate_rules(stats, alarm_rules(t), ["name", "phase"], 21600))
+
+
 @query("alarm_transitions", "W02", f"""{cte('metrics', **STATS, states=alarm_sql(20.0, 2, 360))} SELECT * FROM (SELECT *, lag(state, 1, 'OK') OVER (PARTITION BY name, phase ORDER BY period_start) AS prev_state, CASE WHEN state = 'ALARM' THEN 'alarm_action' ELSE 'ok_action' END AS action FROM states) s WHERE state <> prev_state""")
 def _(t):
     return plain(M.alarm_transitions(states(t, limit=20.0), ["name", "phase"]))

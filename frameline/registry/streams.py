@@ -7,7 +7,7 @@ from frameline.fixtures import EVENT_NOW, cte
 from frameline.operators import jobs as J
 from frameline.registry import query
 from frameline.registry.jobs import KEYS, VIDEO, tagged, ts
-from frameline.registry.operations import plain, stats_sql
+from frameline.registry.operations import alarm_rules, plain, rules_sql, stats_sql
 from frameline.streaming import events as E
 from frameline.streaming import state as S
 from frameline.streaming import windows as W
@@ -38,7 +38,7 @@ def _(t):
 
 @query("dead_letters", "T04", f"{cte('messages')} SELECT message_id FROM messages GROUP BY message_id HAVING count(*) > 5")
 def _(t):
-    return run_to_table(t.spark, S.dead_letters(t.stream("messages")), "dead")
+    return run_to_table(t.spark, S.dead_letters(t.stream("messages"), retention_days=60), "dead")
 
 
 @query("dead_letters_batch", "T04", f"{cte('messages')} SELECT message_id FROM messages GROUP BY message_id HAVING count(*) > 5")
@@ -77,17 +77,26 @@ def _(t):
     return plain(run_to_table(t.spark, stats, "daily"))
 
 
+def closed_stats(t):
+    """A stream of the closed six-hour periods."""
+    folder = scratch_dir(t.spark, "alarmstats")
+    stats = W.stream_stats(event_time(t.stream("metrics")), "6 hours", "Average", ["name", "phase"])
+    run_to_table(t.spark, stats, "alarmstats", path=folder)
+    return t.spark.readStream.schema(stats.schema).parquet(f"{folder}/rows")
+
+
+@query("streaming_rules", "T07", f"{cte('metrics', stats=f"SELECT * FROM ({stats_sql('360 MINUTE', 'avg', 'name, phase')}) g WHERE period_start + INTERVAL 360 MINUTE <= {CLOSED}")}, {rules_sql()}, c AS (SELECT *, lag(state, 1, 'OK') OVER (PARTITION BY alarm, name, phase ORDER BY period_start) AS earlier FROM ruled) SELECT alarm, name || '/' || phase AS alarm_key, period_start, state FROM c WHERE state <> earlier")
+def _(t):
+    return plain(run_to_table(t.spark, S.streaming_rules(closed_stats(t), alarm_rules(t), ["name", "phase"], 21600), "rules"))
+
+
 RUNS = """b AS (SELECT name || '/' || phase AS alarm_key, period_start, stat_value > 20 AS breach FROM stats), s AS (SELECT *, CASE WHEN breach AND coalesce(lag(breach) OVER w AND lag(period_start) OVER w = period_start - INTERVAL 360 MINUTE, false) THEN 'ALARM' ELSE 'OK' END AS state FROM b WINDOW w AS (PARTITION BY alarm_key ORDER BY period_start)),
 c AS (SELECT *, lag(state, 1, 'OK') OVER (PARTITION BY alarm_key ORDER BY period_start) AS before FROM s)"""
 
 
 @query("streaming_alarms", "T07", f"{cte('metrics', stats=f"SELECT * FROM ({stats_sql('360 MINUTE', 'avg', 'name, phase')}) g WHERE period_start + INTERVAL 360 MINUTE <= {CLOSED}")}, {RUNS} SELECT alarm_key, period_start, state FROM c WHERE state <> before")
 def _(t):
-    folder = scratch_dir(t.spark, "alarmstats")
-    stats = W.stream_stats(event_time(t.stream("metrics")), "6 hours", "Average", ["name", "phase"])
-    run_to_table(t.spark, stats, "alarmstats", path=folder)
-    closed = t.spark.readStream.schema(stats.schema).parquet(f"{folder}/rows")
-    alarms = S.streaming_alarms(closed, F.concat_ws("/", "name", "phase"), F.col("stat_value") > 20, 21600, 2)
+    alarms = S.streaming_alarms(closed_stats(t), F.concat_ws("/", "name", "phase"), F.col("stat_value") > 20, 21600, 2)
     return plain(run_to_table(t.spark, alarms, "alarms"))
 
 
@@ -121,12 +130,8 @@ def _(t):
 @query("progress_stream", "T10", f"{cte('frames')} SELECT job_id, cast(1 + cast(substr(job_id, 5) AS bigint) % 4 AS bigint) AS total FROM frames GROUP BY job_id HAVING count(DISTINCT n) >= 1 + cast(substr(job_id, 5) AS bigint) % 4")
 def _(t):
     seen = t.stream_raw("lineitem").selectExpr("'job-' || cast(l_orderkey AS string) AS job_id", "l_linenumber AS n", "l_shipdate AS ts")
-    once = S.distinct_frames(event_time(seen), "36500 days")
-    folder = scratch_dir(t.spark, "distinct")
-    run_to_table(t.spark, once.select("job_id", "n"), "distinct", path=folder)
-    frames = t.spark.readStream.schema("job_id string, n int").parquet(f"{folder}/rows")
     totals = t.raw("orders").selectExpr("'job-' || cast(o_orderkey AS string) AS job_id", "cast(1 + o_orderkey % 4 AS bigint) AS total")
-    return run_to_table(t.spark, S.progress_stream(frames, totals), "progress")
+    return run_to_table(t.spark, S.progress_stream(seen, totals), "progress")
 
 
 @query("audit_alarms", "T11", f"""{cte('audit')}, h AS (SELECT ts, 'unauthorized' AS finding FROM audit WHERE error_code IS NOT NULL UNION ALL SELECT ts, 'root_use' FROM audit WHERE user_type = 'Root' AND invoked_by IS NULL AND event_kind <> 'AwsServiceEvent' UNION ALL SELECT ts, 'policy_change' FROM audit WHERE event_name = 'AttachRolePolicy')

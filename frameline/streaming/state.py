@@ -1,56 +1,78 @@
 """Keyed state: dead letters, the job state machine, alarms over periods in a row, completion.
 
-Each function reads its key's new rows as a stream of Arrow chunks and keeps a value of fixed size, so a hot
-key needs time but not memory. Results do not depend on the order of rows inside a batch.
+Rows are reduced before the shuffle (:mod:`frameline.streaming.combine`), so a hot key is no large group. State has a
+fixed size for a key (completion: a bit for a frame until the job is complete) and a finite life: event-time timers drop
+it a stated number of days after the last row of its key; rows that come later than the stated delay are left out. Processing-time expiry is not used: what is forgotten would
+depend on when a run happens. Results do not depend on the order of rows inside a batch.
+
+The keyed call hands over many keys and their state in one Arrow batch. The newer ``transformWithStateInPandas`` was
+tried for all three operators and left: it asks for the state of every key on its own (README has the figures).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState
 
+from frameline.operators.metrics import rule_breach
+from frameline.streaming.combine import combined, frame_bitmaps
 from frameline.streaming.run import use_rocksdb
 
 STAGES = ("extract", "process", "recompose")
+DAY_MS = 86_400_000
 
 
-def _keyed(df: DataFrame, key: str, function, output: str, state: str, timeout: str = "NoTimeout") -> DataFrame:
-    use_rocksdb(df.sparkSession)
-    return df.groupBy(key).applyInPandasWithState(function, output, state, "append", timeout)
+Step = Callable[[tuple, pd.DataFrame, "tuple | None"], "tuple[tuple, list]"]
 
 
-def dead_letters(receives: DataFrame, limit: int = 5, retention_days: int | None = None) -> DataFrame:
-    """Messages received more than ``limit`` times (5 receives are allowed), each given out once.
+def _keyed(rows: DataFrame, key: str | tuple[str, ...], step: Step, value: str, output: str, keep_days: float, delay: str) -> DataFrame:
+    """Calls ``step(key, rows, value)`` for each key of a batch; it returns the new value and the output rows.
 
-    With ``retention_days`` (the queue keeps a message for 4 days) the stream needs a watermark on ``ts``, and a
-    message is forgotten that long after its last receive. Processing-time timers are not used: they would keep
-    an available-now run from ever ending.
+    ``rows`` are reduced and need ``seen``, the time of a row in milliseconds. The value is forgotten ``keep_days`` after
+    the latest, as soon as the watermark, which stays ``delay`` behind, has passed.
     """
-    keep_ms = None if retention_days is None else retention_days * 86_400_000
+    use_rocksdb(rows.sparkSession)
+    keep_ms, columns = int(keep_days * DAY_MS), [c.split()[0] for c in output.split(", ")]
 
-    def count(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    def run(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        before, last = state.get if state.exists else (0, 0)
-        after = before
-        for chunk in rows:
-            after += len(chunk)
-            last = max(last, int(chunk["at"].max()))
-        state.update((after, last))
-        if keep_ms is not None:
-            state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + keep_ms)
-        if before <= limit < after:
-            yield pd.DataFrame({"message_id": [key[0]]})
-
-    at = F.unix_millis(F.col("ts").cast("timestamp"))
-    rows = receives.select("message_id", *([] if keep_ms is None else ["ts"]), at.alias("at"))
-    timeout = "NoTimeout" if keep_ms is None else "EventTimeTimeout"
-    return _keyed(rows, "message_id", count, "message_id string", "n bigint, last bigint", timeout)
+        got = pd.concat(list(chunks))
+        *held, last = state.get if state.exists else (0,)
+        new, out = step(key, got, tuple(held) or None)
+        last = max(last, int(got["seen"].max()))
+        state.update((*new, last))
+        state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + keep_ms)
+        if out:
+            yield pd.DataFrame(out, columns=columns)
+
+    timed = rows.withColumn("seen_at", F.timestamp_millis("seen")).withWatermark("seen_at", delay)
+    return timed.groupBy(*([key] if isinstance(key, str) else key)).applyInPandasWithState(run, output, f"{value}, last bigint", "append", "EventTimeTimeout")
+
+
+def _millis(time: str | Column) -> Column:
+    return F.unix_millis((F.col(time) if isinstance(time, str) else time).cast("timestamp"))
+
+
+def dead_letters(receives: DataFrame, limit: int = 5, retention_days: float = 14, delay: str = "1 hour") -> DataFrame:
+    """Messages received more than ``limit`` times (5 receives are allowed), each given out once.
+
+    A message is forgotten ``retention_days`` after its last receive, by event time.
+    """
+
+    def count(key: tuple, rows: pd.DataFrame, value: tuple | None) -> tuple[tuple, list]:
+        before = value[0] if value else 0
+        after = before + int(rows["n"].sum())
+        return (after,), [(key[0],)] if before <= limit < after else []
+
+    rows = receives.select("message_id", F.lit(1).cast("bigint").alias("n"), _millis("ts").alias("seen"))
+    reduced = combined(rows, ["message_id"], {"n": "sum", "seen": "max"})
+    return _keyed(reduced, "message_id", count, "n bigint", "message_id string", retention_days, delay)
 
 
 def job_states_batch(changes: DataFrame) -> DataFrame:
@@ -77,23 +99,23 @@ def _verdict(firsts: DataFrame) -> DataFrame:
     return firsts.select("job_id", state.alias("state"))
 
 
-def job_state_machine(changes: DataFrame) -> DataFrame:
+def job_state_machine(changes: DataFrame, keep_days: float = 30, delay: str = "1 hour") -> DataFrame:
     """Ends of jobs (all stages done, or a stage failed before it was done): ``job_id, state, revision``.
 
     The state of a job is the first COMPLETED and first FAILED time of every stage. An end is given out as soon as it is
     known. A record that arrives late may change it (also back to waiting); the job is then given out again with the next
     revision, so its highest revision (:func:`latest_verdicts`) does not depend on the order in which records arrive.
+    A job is forgotten ``keep_days`` after its last record, by event time, whether it has ended or not.
     """
     slots = [(s, x) for s in STAGES for x in ("COMPLETED", "FAILED")]
 
-    def advance(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        *held, told, revision = state.get if state.exists else (*[None] * len(slots), None, 0)
-        for chunk in rows:
-            first = chunk.groupby(["stage", "status"])["at"].min()
-            for i, slot in enumerate(slots):
-                if slot in first.index:
-                    at = float(first[slot])
-                    held[i] = at if held[i] is None else min(held[i], at)
+    def advance(key: tuple, rows: pd.DataFrame, value: tuple | None) -> tuple[tuple, list]:
+        *held, told, revision = value or (*[None] * len(slots), None, 0)
+        first = rows.groupby(["stage", "status"])["at"].min()
+        for i, slot in enumerate(slots):
+            if slot in first.index:
+                at = float(first[slot])
+                held[i] = at if held[i] is None else min(held[i], at)
         end, over = "COMPLETED", True
         for i, stage in enumerate(STAGES):
             done, failed = held[2 * i], held[2 * i + 1]
@@ -106,14 +128,13 @@ def job_state_machine(changes: DataFrame) -> DataFrame:
         news = end != told and (over or told is not None)
         if news:
             told, revision = end, revision + 1
-        state.update((*held, told, revision))
-        if news:
-            yield pd.DataFrame({"job_id": [key[0]], "state": [end], "revision": [revision]})
+        return (*held, told, revision), [(key[0], end, revision)] if news else []
 
     at = F.unix_micros(F.col("ts").cast("timestamp")).cast("double")
-    needed = changes.filter(F.col("status").isin("COMPLETED", "FAILED")).select("job_id", "stage", "status", at.alias("at"))
-    columns = ", ".join(f"{s}_{x} double" for s, x in slots)
-    return _keyed(needed, "job_id", advance, "job_id string, state string, revision bigint", f"{columns}, told string, revision bigint")
+    needed = changes.filter(F.col("status").isin("COMPLETED", "FAILED")).select("job_id", "stage", "status", at.alias("at"), _millis("ts").alias("seen"))
+    reduced = combined(needed, ["job_id", "stage", "status"], {"at": "min", "seen": "max"})
+    value = ", ".join(f"{s}_{x} double" for s, x in slots) + ", told string, revision bigint"
+    return _keyed(reduced, "job_id", advance, value, "job_id string, state string, revision bigint", keep_days, delay)
 
 
 def latest_verdicts(verdicts: DataFrame) -> DataFrame:
@@ -122,47 +143,68 @@ def latest_verdicts(verdicts: DataFrame) -> DataFrame:
     return newest.filter(~F.col("state").endswith("_waiting"))
 
 
-def streaming_alarms(stats: DataFrame, key: Column, breach: Column, period_seconds: int, periods: int) -> DataFrame:
-    """Alarm changes over a stream of closed period statistics; a missing period breaks the run.
+def streaming_alarms(stats: DataFrame, key: Column, breach: Column, period_seconds: int, periods: int, keep_days: float = 30) -> DataFrame:
+    """Alarm changes under one rule over a stream of closed period statistics; a missing period breaks the run."""
+    rows = stats.select(F.lit("").alias("alarm"), key.alias("alarm_key"), "period_start", F.coalesce(breach, F.lit(False)).alias("breach"), F.lit(periods).alias("periods"))
+    return _alarm_changes(rows, period_seconds, keep_days).drop("alarm")
 
-    A key's rows are one per period, so even a whole history in one batch is small. Periods of a key must
-    not come in an earlier batch than periods before them, which holds for closed windows.
+
+def streaming_rules(stats: DataFrame, rules: DataFrame, keys: Sequence[str], period_seconds: int, metric: str = "name", keep_days: float = 30) -> DataFrame:
+    """``alarm, alarm_key, period_start, state``: alarm changes of a static table of rules over a stream of statistics.
+
+    As :func:`frameline.operators.metrics.evaluate_rules`; ``alarm_key`` is the series, its keys joined by ``/``.
     """
-    def follow(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        at, length, alarm = state.get if state.exists else (None, 0, False)
-        every = pd.concat(list(rows)).sort_values("at")
+    watched = rules.select("alarm", F.col("name").alias(metric), "comparison", "threshold", "periods")
+    rows = stats.join(watched, metric).select("alarm", F.concat_ws("/", *keys).alias("alarm_key"), "period_start", rule_breach(F.col("stat_value")).alias("breach"), "periods")
+    return _alarm_changes(rows, period_seconds, keep_days)
+
+
+def _alarm_changes(rows: DataFrame, period_seconds: int, keep_days: float) -> DataFrame:
+    """A series has one row a period, so even a whole history in one batch is small.
+
+    Periods of a series must not come in an earlier batch than periods before them, which holds for closed windows. A
+    series that has been silent for ``keep_days`` is forgotten (the gap has ended its run, an alarm starts anew).
+    """
+
+    def follow(key: tuple, new: pd.DataFrame, value: tuple | None) -> tuple[tuple, list]:
+        at, length, alarm = value or (None, 0, False)
         out = []
-        for now, hit in zip(every["at"].tolist(), every["breach"].tolist()):
+        new = new.sort_values("at")
+        for now, hit, periods in zip(new["at"].tolist(), new["breach"].tolist(), new["periods"].tolist()):
             unbroken = at is not None and now == at + period_seconds
             length = (length + 1 if unbroken else 1) if hit else 0
             at, before, alarm = now, alarm, length >= periods
             if alarm != before:
-                out.append((key[0], now, "ALARM" if alarm else "OK"))
-        state.update((at, length, alarm))
-        yield pd.DataFrame(out, columns=["alarm_key", "at", "state"])
-
-    at = F.unix_seconds(F.col("period_start").cast("timestamp"))
-    rows = stats.select(key.alias("alarm_key"), at.alias("at"), F.coalesce(breach, F.lit(False)).alias("breach"))
-    changes = _keyed(rows, "alarm_key", follow, "alarm_key string, at bigint, state string", "at bigint, length int, alarm boolean")
-    return changes.select("alarm_key", F.timestamp_seconds("at").alias("period_start"), "state")
-
-
-def distinct_frames(frames: DataFrame, horizon: str, time: str = "ts") -> DataFrame:
-    """Each (job, frame) once within the horizon; the state is spread by job and frame."""
-    return frames.withWatermark(time, horizon).dropDuplicatesWithinWatermark(["job_id", "n"])
-
-
-def progress_stream(frames: DataFrame, jobs: DataFrame) -> DataFrame:
-    """Completion signal per job, once, from a stream of distinct frames and a static ``job_id, total`` table."""
-    def count(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        n, total, done = state.get if state.exists else (0, None, False)
-        for chunk in rows:
-            n += len(chunk)
-            total = int(chunk["total"].iloc[0])
-        ready = not done and n >= total
-        state.update((n, total, done or ready))
-        if ready:
-            yield pd.DataFrame({"job_id": [key[0]], "total": [total]})
-
-    known = frames.select("job_id", "n").join(jobs.select("job_id", "total"), "job_id").select("job_id", "total")
-    return _keyed(known, "job_id", count, "job_id string, total bigint", "n bigint, total bigint, done boolean")
+                out.append((*key, now, "ALARM" if alarm else "OK"))
+        return (at, length, alarm), out
+
+    timed = rows.withColumn("at", F.unix_seconds(F.col("period_start").cast("timestamp"))).drop("period_start").withColumn("seen", F.col("at") * 1000)
+    changes = _keyed(timed, ("alarm", "alarm_key"), follow, "at bigint, length bigint, alarm boolean", "alarm string, alarm_key string, at bigint, state string", keep_days, "0 seconds")
+    return changes.select("alarm", "alarm_key", F.timestamp_seconds("at").alias("period_start"), "state")
+
+
+def progress_stream(frames: DataFrame, jobs: DataFrame, time: str = "ts", keep_days: float = 30, delay: str = "1 hour") -> DataFrame:
+    """Completion signal per job, once, from a stream of frames (``job_id, n``) and a static ``job_id, total`` table.
+
+    A frame that comes again counts once. Frames are reduced to bitmaps before the shuffle, and the state of a job is
+    such bitmaps, dropped when it is complete. A job is forgotten ``keep_days`` after its last frame, by event time.
+    """
+
+    def count(key: tuple, rows: pd.DataFrame, value: tuple | None) -> tuple[tuple, list]:
+        frames, done, blocks, bits = value or (0, False, (), ())
+        total = int(rows["total"].max())
+        if done:
+            return (frames, True, [], []), []
+        held = {int(b): int.from_bytes(bytes(x), "little") for b, x in zip(blocks, bits)}
+        for block, more in zip(rows["block"].tolist(), rows["bits"].tolist()):
+            old = held.get(block, 0)
+            held[block] = new = old | int.from_bytes(bytes(more), "little")
+            frames += new.bit_count() - old.bit_count()
+        if frames >= total:
+            return (frames, True, [], []), [(key[0], total)]
+        return (frames, False, list(held), [x.to_bytes((x.bit_length() + 7) // 8, "little") for x in held.values()]), []
+
+    known = frames.select("job_id", "n", _millis(time).alias("at")).join(jobs.select("job_id", "total"), "job_id")
+    reduced = frame_bitmaps(known).withColumnRenamed("at", "seen")
+    value = "frames bigint, done boolean, blocks array<bigint>, bits array<binary>"
+    return _keyed(reduced, "job_id", count, value, "job_id string, total bigint", keep_days, delay)

@@ -57,6 +57,36 @@ def test_lifecycle_of_frames(spark, age, action):
     assert inventory.lifecycle_action(one, now()).first().action == action
 
 
+STORES = [("source", "", "IA", 30), ("source", "", "DEEP_ARCHIVE", 180), ("source", "", "ABORT", 1), ("work", "", "EXPIRE", 30), ("work", "frames/", "IA", 3), ("work", "frames/old/", "EXPIRE", 10), ("work", "temp/", "EXPIRE", 1)]
+
+
+@pytest.mark.parametrize("bucket,key,age,incomplete,action,expires", [
+    ("source", "a.mp4", 29, False, "NONE", None), ("source", "a.mp4", 30, False, "IA", None), ("source", "a.mp4", 999, False, "DEEP_ARCHIVE", None),
+    ("source", "a.mp4", 999, True, "ABORT", None), ("source", "a.mp4", 0, True, "NONE", None), ("work", "j/frames/f", 5, False, "IA", 30),
+    ("work", "j/frames/old/f", 10, False, "EXPIRE", 10), ("work", "j/temp/f", 2, False, "EXPIRE", 1), ("work", "j/temporary", 2, False, "NONE", 30),
+    ("work", "", 31, False, "EXPIRE", 30), ("work", None, 31, False, "NONE", None), ("elsewhere", "j/temp/f", 99, False, "NONE", None), (None, "x", 99, False, "NONE", None),
+])
+def test_rules_of_all_stores(spark, bucket, key, age, incomplete, action, expires):
+    one = spark.createDataFrame([(bucket, key, NOW - timedelta(days=age), incomplete, "x")], "bucket string, key string, last_modified timestamp_ntz, incomplete boolean, action_taken string")
+    got = inventory.store_lifecycle(one, spark.createDataFrame(STORES, inventory.STORE_RULE), now()).first()
+    assert (got.action, got.expires_after, got.action_taken) == (action, expires, "x")
+
+
+def test_every_action_of_the_stores_occurs(spark):
+    from frameline.fixtures import Tables
+    from frameline.registry import load
+
+    rows = load()["store_lifecycle"].run(Tables(spark, "/root/testdata/sf0.001"))
+    assert {r.action for r in rows.select("action").distinct().collect()} == {"NONE", "ABORT", *inventory.ACTION_RANK}
+
+
+def test_prefix_only_at_the_start(spark):
+    two = spark.createDataFrame([("work", k, NOW - timedelta(days=2)) for k in ("temp/f", "j/temp/f")], "bucket string, key string, last_modified timestamp_ntz")
+    rules = spark.createDataFrame(STORES, inventory.STORE_RULE)
+    assert {r.key: r.action for r in inventory.store_lifecycle(two, rules, now(), any_part=False).collect()} == {"temp/f": "EXPIRE", "j/temp/f": "NONE"}
+    assert inventory.store_lifecycle(two, rules.limit(0), now()).filter("action = 'NONE'").count() == 2
+
+
 def points(spark, *rows):
     shape = "resource_id string, endpoint_name string, name string, ts timestamp_ntz, value double"
     return spark.createDataFrame([(i, i, n, NOW - timedelta(minutes=m), v) for i, n, m, v in rows], shape)
@@ -162,6 +192,20 @@ def test_gap_breaks_alarm_run(spark):
     assert [r.action for r in metrics.alarm_transitions(states, ["k"]).orderBy("period_start").collect()] == ["alarm_action", "ok_action", "alarm_action"]
 
 
+def test_rules_of_several_lengths_in_one_pass(spark):
+    from frameline.fixtures import Tables
+    from frameline.registry import load
+
+    at = [datetime(2024, 1, 1, 0, 5 * i) for i in (0, 1, 2, 3, 4, 5, 7, 8)]
+    stats = spark.createDataFrame([("k", t, v) for t, v in zip(at, (9.0, 9.0, 1.0, 9.0, 9.0, 9.0, 9.0, None))], "name string, period_start timestamp_ntz, stat_value double")
+    rules = spark.createDataFrame([(f"r{k}", "k", "GreaterThanThreshold", 5.0, k) for k in (1, 2, 3)] + [("other", "x", "GreaterThanThreshold", 5.0, 1), ("odd", "k", "Unknown", 0.0, 1)], metrics.RULE)
+    rows = metrics.evaluate_rules(stats, rules, ["name"], 300).orderBy("alarm", "period_start").collect()
+    got = {a: "".join(r.state[0] for r in rows if r.alarm == a) for a in ("r1", "r2", "r3", "odd")}
+    assert got == {"r1": "AAOAAAAO", "r2": "OAOOAAOO", "r3": "OOOOOAOO", "odd": "OOOOOOOO"} and len(rows) == 32
+    ruled = load()["evaluate_rules"].run(Tables(spark, "/root/testdata/sf0.01"))
+    assert {r.periods for r in ruled.filter("state = 'ALARM'").select("periods").distinct().collect()} == {1, 2, 6}
+
+
 def test_nothing_evaluated_is_compliant(spark):
     none = spark.createDataFrame([("r", "x", "INSUFFICIENT_DATA")], "rule_name string, resource_id string, compliance_type string")
     assert audit.compliance_overall(none).first().percent == 100.0
