@@ -5,7 +5,7 @@ Template (control strings are fixed values of the common instruction format, plu
     <s>[INST] user text [/INST] assistant text </s>[ROLE system] text [/ROLE]...
 
 A conversation is rendered plainly and parsed back by a deterministic grammar. Where the recovered turns differ from
-the source, the content is escaped: every ``[INST]``, ``[/INST]``, ``[ROLE``, ``[/ROLE``, ``<s>`` and ``</s>`` inside a
+the source, or a text holds a control string (it may parse by luck, and would still be one), the content is escaped: every ``[INST]``, ``[/INST]``, ``[ROLE``, ``[/ROLE``, ``<s>`` and ``</s>`` inside a
 text gets a backslash after its first character (``[\\INST]``), and one more if some are there already. The parser always
 takes one backslash off again, so a text that looks escaped by itself is a conflict as well. After escaping no control
 string is left in any text, hence the second parse is identical; a conversation for which it is not raises an error.
@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _BRACKET, _ANGLE = r"(/?INST\]|/?ROLE)", r"(/?s>)"
+_CONTROL = rf"\[\\*{_BRACKET}|<\\*{_ANGLE}"
 _TURN = r"(?s)\[INST\] .*? \[/INST\]|\[ROLE [^\] ]*\] .*? \[/ROLE\]| .*? </s>"
 
 
@@ -74,7 +75,8 @@ def format_conversations(turns: DataFrame) -> DataFrame:
     whole = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("_rows"))
     whole = whole.select("conv_id", F.transform("_rows", lambda r: F.struct(r["role"].alias("role"), r["text"].alias("text"))).alias("_source"))
     plain = whole.withColumn("_plain", _write(F.col("_source"), lambda t: t))
-    judged = plain.withColumn("escaped", ~parse(F.col("_plain")).eqNullSafe(F.col("_source")))
+    control = F.exists("_source", lambda t: t["text"].rlike(_CONTROL))
+    judged = plain.withColumn("escaped", control | ~parse(F.col("_plain")).eqNullSafe(F.col("_source")))
     written = judged.select("conv_id", "_source", "escaped", F.when(F.col("escaped"), _write(F.col("_source"), escape)).otherwise(F.col("_plain")).alias("formatted"))
     back = written.withColumn("turns", parse(F.col("formatted")))
     same = F.when(F.col("turns").eqNullSafe(F.col("_source")), F.col("formatted")).otherwise(F.raise_error(F.lit("a conversation does not survive its round trip")))

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import json
 import random
+import re
 import struct
 
 import numpy as np
@@ -266,6 +267,24 @@ def test_plain_conversations_are_not_escaped(spark):
     assert not got.escaped and got.formatted == "<s>[INST] a [/INST][INST] a [/INST] b </s>"
 
 
+def test_every_control_string_is_escaped_as_the_sql_counts(spark):
+    """Control strings that would parse by luck are escaped too; rows equal the registered SQL."""
+    import duckdb
+
+    texts = ["a <s> b", "say [INST] now", "x", "[/ROLE", "<\\s>", "[\\INST] y </s>", "plain [ text < here", ""]
+    rows = [(c, t, ("user", "assistant", "system")[(c + t) % 3], texts[(c * 3 + t) % len(texts)]) for c in range(16) for t in range(4)]
+    table = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    whole = chat.format_conversations(table)
+    for r in whole.collect():
+        inside = [chat_text for _, chat_text in r.turns]
+        assert r.escaped == any(re.search(chat._CONTROL, x) for x in inside)
+        marks = sum({"user": 2, "assistant": 1}.get(role, 2) for role, _ in r.turns) + 1
+        assert len(re.findall(r"\[/?INST\]|\[/?ROLE|</?s>", r.formatted)) == marks  # the template's own and no others
+    conversations = table.toPandas()  # read by the SQL below
+    got = sorted(tuple(r) for r in chat.digest(chat.format_conversations(chat.with_hostile_conversation(table))).collect())
+    assert got == sorted(duckdb.sql(chat.SQL).fetchall()) and len(conversations) == 64
+
+
 # urls ------------------------------------------------------------------------------------------------------------
 
 
