@@ -153,11 +153,14 @@ def batch_rollup(results: DataFrame) -> DataFrame:
 def nested_results(results: DataFrame, size: int = sizing.LARGEST_BATCH) -> DataFrame:
     """Results as lists of at most ``size``, ordered by batch id, one list per sub-batch of a job.
 
-    A batch id that is no number is a sub-batch of its own (named by its hash).
+    A batch id that is no number has no sub-batch (null) and a list of its own; results without any id are told apart by
+    where they were written.
     """
     held = F.struct("batch_id", "status", "output_file_path", "error")
-    grouped = results.groupBy("job_id", F.coalesce(sizing.int_div(F.col("batch_id").try_cast("long"), size), F.xxhash64("batch_id")).alias("sub_batch"))
-    return grouped.agg(F.sort_array(F.collect_list(held)).alias("batch_results"))
+    number = F.col("batch_id").try_cast("long")
+    other = F.when(number.isNull(), F.struct(F.col("batch_id").cast("string").alias("id"), F.when(F.col("batch_id").isNull(), F.col("output_file_path")).alias("path")))
+    grouped = results.groupBy("job_id", sizing.int_div(number, size).alias("sub_batch"), other.alias("_other"))
+    return grouped.agg(F.sort_array(F.collect_list(held)).alias("batch_results")).drop("_other")
 
 
 def ordered_results(results: DataFrame) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import ahocorasick
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -78,18 +82,46 @@ def without_active_jobs(endpoints: DataFrame, jobs: DataFrame, separator: str =
     return endpoints.join(used, "endpoint_name", "left_anti")
 
 
-def without_jobs_containing(endpoints: DataFrame, jobs: DataFrame) -> DataFrame:
+NAMES = 200_000  # names of an automaton
+
+
+def without_jobs_containing(endpoints: DataFrame, jobs: DataFrame, names: int = NAMES) -> DataFrame:
     """As :func:`without_active_jobs` for free-text endpoint fields: the name may be any part of the text.
 
-    Every substring as long as some endpoint name is a candidate, so the text is cut into the lengths that
-    occur (at most a few) and compared by equality instead of testing every pair.
+    The names become an automaton that finds all of them in one pass over a text, however many there are and whatever
+    their lengths. At most about ``names`` of them are in one automaton: they are dealt by hash into as many shards as
+    that takes, each shard is one pass over the live jobs, and an endpoint that is found is given out once a task.
     """
-    lengths = endpoints.agg(F.collect_set(F.length("endpoint_name")).alias("_lengths")).scalar()
-    live = jobs.filter(F.col("status").isin("PROCESSING", "INITIATED")).select("endpoints").distinct()
-    each = live.withColumn("_lengths", lengths).select("endpoints", F.explode("_lengths").alias("_n")).filter(F.length("endpoints") >= F.col("_n"))
-    start = F.explode(F.sequence(F.lit(1), F.length("endpoints") - F.col("_n") + 1))
-    parts = each.select("endpoints", "_n", start.alias("_i")).select(F.col("endpoints").substr(F.col("_i"), F.col("_n")).alias("endpoint_name"))
-    return endpoints.join(parts.distinct(), "endpoint_name", "left_anti")
+    known = endpoints.select("endpoint_name").filter(F.col("endpoint_name").isNotNull()).distinct()
+    shards = max(1, -(-known.count() // names))
+    texts = jobs.filter(F.col("status").isin("PROCESSING", "INITIATED")).select("endpoints").filter(F.col("endpoints").isNotNull())
+    used = None
+    for shard in range(shards):
+        part = known.filter(F.pmod(F.xxhash64("endpoint_name"), F.lit(shards)) == shard)
+        found = _names_in(texts, [r[0] for r in part.collect()])
+        used = found if used is None else used.unionByName(found)
+    return endpoints.join(used.distinct(), "endpoint_name", "left_anti")
+
+
+def _names_in(texts: DataFrame, names: list[str]) -> DataFrame:
+    """``endpoint_name``: those of ``names`` that are part of some text, each once a task. The empty name is part of any."""
+    held = texts.sparkSession.sparkContext.broadcast(names)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        automaton = ahocorasick.Automaton()
+        for name in held.value:
+            if name:
+                automaton.add_word(name, name)
+        automaton.make_automaton()
+        found: set[str] = set()
+        for batch in batches:
+            found.update([""] if len(batch) and "" in held.value else [])
+            if len(automaton):
+                for text in batch["endpoints"]:
+                    found.update(name for _, name in automaton.iter(text))
+        yield pd.DataFrame({"endpoint_name": sorted(found)}, dtype="object")
+
+    return texts.mapInPandas(run, "endpoint_name string")
 
 
 def fallback_capacity(fleet: DataFrame) -> DataFrame:

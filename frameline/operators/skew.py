@@ -6,38 +6,66 @@ keys, and deterministic salts (a hash of the row, so a retried task sends every
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SALTS = 16
+HOT_KEYS = 256  # keys the sketch may name, at most
+TRACKED = 8192  # counters of the sketch
+HOT_SHARE = 0.005  # share of all rows above which a key is hot
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Catalyst's own size estimate of ``df`` is within the session's broadcast threshold."""
-    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    if limit.startswith("-"):
+def small_enough(df: DataFrame) -> bool:
+    """Whether the values of ``df`` take less than the session's broadcast threshold, by one pass over it."""
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgt]?)i?b?", df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()).groups()
+    limit = int(number) << 10 * " kmgt".index(unit or " ")
+    if limit < 0:
         return False
-    allowed = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= allowed
+    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c, kind in df.dtypes if "<" not in kind), F.lit(16))
+    nested = sum((F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) for c, kind in df.dtypes if "<" in kind), F.lit(0))
+    return df.agg(F.coalesce(F.sum(width + nested), F.lit(0)).alias("n")).first()["n"] <= limit
+
+
+def _whole(on: Sequence[str]) -> Column:
+    """The key as one value: itself, or the texts of its columns."""
+    return F.col(on[0]) if len(on) == 1 else F.concat_ws("\x1f", *[F.col(k).cast("string") for k in on])
+
+
+def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
+    """``_key``: the keys that hold more than ``share`` of the rows, at most ``HOT_KEYS`` of them.
+
+    One pass with a frequent-items sketch of fixed size, merged from the tasks: a key with that many rows cannot be
+    missed (its error is below the share as long as the sketch has more counters than 1 / share), and no key is shuffled.
+    """
+    held = df.select(_whole(on).alias("k")).filter(F.col("k").isNotNull())
+    found = held.agg(F.expr(f"approx_top_k(k, {HOT_KEYS}, {TRACKED})").alias("top"), F.count(F.lit(1)).alias("rows"))
+    each = found.select("rows", F.explode("top").alias("t")).filter(F.col("t.count") > F.col("rows") * share)
+    return each.select(F.col("t.item").alias("_key"))
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", salts: int = SALTS) -> DataFrame:
     """Join where a key of ``big`` may repeat without bound and ``small`` has few rows per key.
 
-    A ``small`` within the broadcast threshold is joined as it is: nothing of ``big`` moves, so keys do not
-    matter. Otherwise rows of ``big`` with the same key are spread over ``salts`` groups and ``small`` is
-    repeated once per group; adaptive skew splitting works on top of that. Both sides stay complete.
-    ``how`` keeps ``big`` on the left: inner, left, left_semi, left_anti.
+    A ``small`` below the broadcast threshold (its values are measured) is broadcast: nothing of ``big`` moves, so keys
+    do not matter. Otherwise the keys a sketch names as hot are spread over ``salts`` groups by a hash of the row, and
+    only their rows of ``small`` are repeated, once for each group; all other keys are joined as they are. Both sides
+    stay complete. ``how`` keeps ``big`` on the left: inner, left, left_semi, left_anti.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"join type {how} would repeat the right side")
-    if fits_broadcast(small):
-        return big.join(small, list(on), how)
+    if small_enough(small):
+        return big.join(F.broadcast(small), list(on), how)
+    if len(on) > 1 and [dict(big.dtypes)[k] for k in on] != [dict(small.dtypes)[k] for k in on]:
+        raise ValueError("the columns of a compound key differ in type")
+    hot = F.broadcast(hot_keys(big, on).withColumn("_hot", F.lit(True)))  # at most HOT_KEYS rows
     hashable = [f.name for f in big.schema.fields if "map<" not in f.dataType.simpleString()]
-    left = big.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int"))
-    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    spread = F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int")
+    left = big.withColumn("_key", _whole(on)).join(hot, "_key", "left").withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(0)).drop("_hot", "_key")
+    copies = F.sequence(F.lit(0), F.when(F.col("_hot"), salts - 1).otherwise(0))
+    right = small.withColumn("_key", _whole(on)).join(hot, "_key", "left").withColumn("_salt", F.explode(copies)).drop("_hot", "_key")
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 

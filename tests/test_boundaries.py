@@ -177,6 +177,22 @@ def test_upsert_keeps_old_values_and_new_keys(spark):
     assert got == {"a": ("FAILED", 5, 3), "b": ("INITIATED", None, 2)}
 
 
+@pytest.mark.parametrize("names", [1000, 3])
+def test_endpoint_names_inside_free_text(spark, names):
+    ends = spark.createDataFrame([(n,) for n in ("ep-1", "ep-12", "p-", "ep-9", "é", "ep-3", None)], "endpoint_name string")
+    live = job(spark, ("a", "PROCESSING", NOW, "uses ep-12, twice ep-12"), ("b", "INITIATED", NOW, "café"), ("c", "COMPLETED", NOW, "ep-9"), ("d", "PROCESSING", NOW, None))
+    got = resources.without_jobs_containing(ends, live, names)
+    assert sorted(r.endpoint_name or "" for r in got.collect()) == ["", "ep-3", "ep-9"]
+    assert resources.without_jobs_containing(ends, live.limit(0), names).count() == 7
+
+
+def test_results_without_a_batch_number_keep_apart(spark):
+    shape = "job_id string, batch_id string, status int, output_file_path string, error string"
+    rows = [("j", str(i), 200, f"o{i}", None) for i in range(6)] + [("j", None, 500, "x", "e"), ("j", None, 500, "y", "e"), ("j", "abc", 500, "z", "e"), ("j", "42", 200, "o42", None)]
+    got = sorted(((r.sub_batch, [x.batch_id for x in r.batch_results]) for r in infer.nested_results(spark.createDataFrame(rows, shape), 4).collect()), key=str)
+    assert got == [(0, ["0", "1", "2", "3"]), (1, ["4", "5"]), (10, ["42"]), (None, ["abc"]), (None, [None]), (None, [None])]
+
+
 def test_retry_stops_at_the_limit(spark):
     rows = [(1, i, False) for i in range(1, 9)] + [(2, 1, False), (2, 2, True), (3, 1, False)]
     tries = spark.createDataFrame(rows, "frame_id int, seq int, ok boolean")

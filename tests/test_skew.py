@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from frameline.functions.sizing import int_div
-from frameline.operators.skew import expand_range, ranked_in_group, salted_join, with_neighbours
+from frameline.operators.skew import expand_range, hot_keys, ranked_in_group, salted_join, small_enough, with_neighbours
 
 
 @pytest.fixture(scope="module")
@@ -29,6 +29,35 @@ def test_salted_join_equals_plain_join(spark, rows, how, threshold, request):
     assert sorted(map(str, plain.collect())) == sorted(map(str, salted.collect()))
 
 
+def test_only_the_hot_key_is_salted(spark, request):
+    """One key with a third of the rows among a million others: the sketch names it alone and only it is repeated."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1KB")
+    big = spark.range(1_500_000, numPartitions=4).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' WHEN id = 1 THEN NULL ELSE 'c' || id END AS k", "id")
+    assert [r._key for r in hot_keys(big, ["k"]).collect()] == ["hot"]
+    assert hot_keys(big.filter("k <> 'hot'"), ["k"]).count() == 0 and hot_keys(big.limit(0), ["k"]).count() == 0
+    pairs = big.selectExpr("k", "CASE WHEN k = 'hot' THEN 7 ELSE id END AS j")
+    assert [r._key for r in hot_keys(pairs, ["k", "j"]).collect()] == ["hot\x1f7"]
+    known = spark.createDataFrame([("hot", 7), ("c4", 4), ("c4", 5)], "k string, j long")
+    assert salted_join(pairs, known, ["k", "j"], "left_semi").count() == 500_001
+    small = spark.range(200_000).selectExpr("'c' || id AS k").union(spark.createDataFrame([("hot",), (None,)], "k string"))
+    joined = salted_join(big, small, ["k"], "left_anti")
+    assert joined.count() == big.join(small, "k", "left_anti").count()
+    whole = salted_join(big, small, ["k"])
+    assert whole.count() == big.join(small, "k").count() and whole.columns == ["k", "id"]
+
+
+def test_small_sides_are_measured(spark, request):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before))
+    rows = spark.range(100).selectExpr("repeat('x', 84) AS k", "array('ab') AS a")  # 100 bytes a row, and the array
+    for threshold, fits in (("10k", False), ("13KB", True), ("20000", True), ("-1", False), ("1m", True)):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        assert small_enough(rows) == fits
+    assert small_enough(rows.limit(0))
+
+
 def test_salted_join_refuses_to_repeat_the_right_side(spark, rows):
     big = spark.createDataFrame(rows, "k string, n int")
     with pytest.raises(ValueError):
