@@ -156,6 +156,60 @@ def merge_tiles(tiles: DataFrame, sizes: DataFrame, tile: int, pad: int, scale:
     return expand_images(rows, paste, params=("h", "w", "c", "tile_ids"), extras=(("missing", T.IntegerType()),), shaped=False)
 
 
+STRIPE_BYTES = 64 << 20
+
+
+def stripe_rows(w: int, c: int, scale: int = 1, stripe_bytes: int = STRIPE_BYTES) -> int:
+    """Output rows of a stripe: as many as fit (values take 8 bytes), one at least."""
+    return max(1, stripe_bytes // (w * scale * c * 8))
+
+
+def merge_stripes(tiles: DataFrame, sizes: DataFrame, tile: int, pad: int, scale: int = 1, stripe_bytes: int = STRIPE_BYTES) -> DataFrame:
+    """As :func:`merge_tiles` for images of any size: an output image is rows of its own, one for each stripe.
+
+    A stripe is as many full output rows as ``stripe_bytes`` hold; ``stripe`` numbers them from the top and ``y0`` is the
+    first output row. Tiles lose their pads and are cut along the stripes before anything is shuffled, so neither a group
+    nor a row is larger than a stripe. ``missing`` counts the tiles a stripe should have had (their place stays 0); a
+    stripe without any tile is there too.
+    """
+    size = sizes.select("image_id", F.col("h").alias("full_h"), F.col("w").alias("full_w"), F.col("c").alias("full_c"))
+
+    def cut(img: np.ndarray, row: dict):
+        h, w, rows = row["full_h"], row["full_w"], stripe_rows(row["full_w"], row["full_c"], scale, stripe_bytes)
+        ty, tx = divmod(int(row["tile_id"]) - 1, -(-w // tile))
+        y0, y1, x0, x1 = ty * tile, min((ty + 1) * tile, h), tx * tile, min((tx + 1) * tile, w)
+        top, left = (y0 - max(y0 - pad, 0)) * scale, (x0 - max(x0 - pad, 0)) * scale
+        core = img[top: top + (y1 - y0) * scale, left: left + (x1 - x0) * scale]
+        for stripe in range(y0 * scale // rows, (y1 * scale - 1) // rows + 1):
+            first, last = max(stripe * rows, y0 * scale), min((stripe + 1) * rows, y1 * scale)
+            yield (stripe, first - stripe * rows, x0 * scale), core[first - y0 * scale: last - y0 * scale]
+
+    places = [(name, T.IntegerType()) for name in ("stripe", "top", "left")]
+    pieces = expand_images(tiles.join(size, "image_id"), cut, params=("tile_id", "full_h", "full_w", "full_c"), extras=places)
+    ordered = F.array_sort(F.collect_list(F.struct("top", "left", "h", "w", "data")))
+    found = pieces.groupBy("image_id", "stripe").agg(
+        *[ordered[n].alias(f"at_{n}") for n in ("top", "left", "h", "w")], F.flatten(F.transform(ordered, lambda p: p["data"])).alias("data")
+    )
+    rows = F.greatest(F.lit(1), F.floor(F.lit(stripe_bytes) / (F.col("w") * scale * F.col("c") * 8))).cast("int")
+    stripes = F.sequence(F.lit(0), F.ceil(F.col("h") * scale / F.col("rows")).cast("int") - 1)
+    every = sizes.select("image_id", "h", "w", "c", rows.alias("rows")).select("*", F.explode(stripes).alias("stripe"))
+
+    def paste(flat: np.ndarray | None, row: dict):
+        first = row["stripe"] * row["rows"]
+        last = min(first + row["rows"], row["h"] * scale)
+        out = np.zeros((last - first, row["w"] * scale, row["c"]))
+        at = 0
+        for top, left, h, w in () if flat is None else zip(*(row[f"at_{n}"] for n in ("top", "left", "h", "w"))):
+            out[top: top + h, left: left + w] = flat[at: at + h * w * row["c"]].reshape(h, w, row["c"])
+            at += h * w * row["c"]
+        down = (last - 1) // (tile * scale) - first // (tile * scale) + 1
+        yield (-(-row["w"] // tile) * down - (0 if flat is None else len(row["at_top"])), first), out
+
+    params = ("stripe", "rows", "h", "w", "c", "at_top", "at_left", "at_h", "at_w")
+    extras = (("missing", T.IntegerType()), ("y0", T.IntegerType()))
+    return expand_images(every.join(found, ["image_id", "stripe"], "left"), paste, ("image_id", "stripe"), params, extras, shaped=False)
+
+
 def to_blocks(images: DataFrame, window: int) -> DataFrame:
     """Non-overlapping blocks; image sides must be multiples of the window."""
     def cut(img: np.ndarray, _: dict):

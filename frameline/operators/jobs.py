@@ -108,6 +108,43 @@ def validate_upload_requests(df: DataFrame) -> DataFrame:
     )
 
 
+def parse_upload_requests(requests: DataFrame, query: str = "query", body: str = "body") -> DataFrame:
+    """Upload requests as they arrive: parameters in a query string, else in a JSON body; the other columns stay.
+
+    Gives what :func:`validate_upload_requests` gives, with ``file_name`` and ``status_code``. A request with neither
+    form, with a body that is no JSON object, or with a lifetime that is no whole number has status 400 and an error, as
+    has one without a file name. Of a parameter that is given twice the first counts; a body is read only where there is
+    no query string.
+    """
+    asked, held = F.length(F.coalesce(query, F.lit(""))) > 0, F.length(F.coalesce(body, F.lit(""))) > 0
+    read = F.try_parse_json(body)
+
+    def parameter(name: str) -> Column:
+        inside = F.regexp_extract(F.coalesce(query, F.lit("")), f"(?:^|&){name}=([^&]*)", 1)
+        given = F.coalesce(query, F.lit("")).rlike(f"(?:^|&){name}=")
+        return F.when(asked, F.when(given, F.try_url_decode(inside))).otherwise(F.try_variant_get(read, f"$.{name}", "string"))
+
+    is_object = F.coalesce(F.schema_of_variant(read).startswith("OBJECT"), F.lit(False))
+    lifetime = parameter("expiration")
+    number = F.when(asked, lifetime.try_cast("long")).otherwise(F.try_variant_get(read, "$.expiration", "long"))
+    problem = (
+        F.when(~asked & ~held, "Missing required parameters")
+        .when(~asked & ~is_object, "Request body cannot be read")
+        .when(lifetime.isNotNull() & number.isNull(), "expiration is not a whole number")
+    )
+    kept = [c for c in requests.columns if c not in (query, body)]
+    rows = requests.select(
+        *kept, parameter("fileName").alias("file_name"), parameter("contentType").alias("content_type"), number.alias("expiration"), problem.alias("_problem")
+    )
+    checked = validate_upload_requests(rows)
+    error = F.coalesce("_problem", "error")
+    bad = error.isNotNull()
+    return checked.select(
+        *kept, "file_name", F.when(bad, None).otherwise(F.col("content_type")).alias("content_type"), F.when(bad, None).otherwise(F.col("expires_in")).alias("expires_in"),
+        F.when(bad, None).otherwise(F.col("key")).alias("key"), F.when(bad, 400).otherwise(200).alias("status_code"), error.alias("error"),
+    )
+
+
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Newest row per key. The rank filter is pushed below the shuffle, so each map task sends one row per key."""
     newest = Window.partitionBy(*keys).orderBy(*[F.col(o).desc() for o in order])

@@ -93,6 +93,16 @@ def _(t):
     return to_pixels(M.merge_tiles(kept, images, 3, 1, 2), "missing")
 
 
+@query("merge_stripes", "I07", f"""{cte('pixels')}, merged AS (WITH {DOUBLED}) SELECT image_id, cast(y // 5 AS int) AS stripe, CASE WHEN image_id % 4 = 0 AND y // 5 IN (1, 2) THEN 1 ELSE 0 END AS missing, y, x, c,
+CASE WHEN image_id % 4 = 0 AND y >= 6 AND y < 12 AND x >= 12 THEN 0 ELSE v END AS v FROM merged""")
+def _(t):
+    images = t.images()
+    tiles = M.upsample_nearest(M.cut_tiles(images, 3, 1), 2, ("image_id", "tile_id"))
+    kept = tiles.filter("NOT (image_id % 4 = 0 AND tile_id = 6)")
+    stripes = M.merge_stripes(kept, images, 3, 1, 2, stripe_bytes=5 * 16 * 8)  # five rows of 16 values
+    return to_pixels(stripes, "missing", "stripe", "y0").withColumn("y", F.col("y") + F.col("y0")).drop("y0")
+
+
 @query("crop_output", "I08", f"{cte('pixels')}, {gather('pixels', '16', '16', 'ty // 2', 'tx // 2')}")
 def _(t):
     large = M.upsample_nearest(M.pad_flip(t.images(), 8), 2)

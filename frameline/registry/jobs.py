@@ -79,6 +79,35 @@ def _(t):
     return J.validate_upload_requests(asked).drop("file_name")
 
 
+# Every form of a request: both places, both number forms, empty, broken, and parameters that are missing or no number.
+ASKED = """CASE batch_id % 5 WHEN 0 THEN 'fileName=my+clip%20' || batch_id || '.mp4&expiration=' || (batch_id * 200 + 100) WHEN 1 THEN CASE WHEN length(job_id) % 2 = 0 THEN 'expiration=600' ELSE 'contentType=video/mp4&fileName=a.mov&fileName=b.mov&expiration=x' END END AS query"""
+SENT = """CASE WHEN batch_id % 5 = 2 THEN '{"fileName": "clip ' || job_id || '.mp4", "expiration": ' || CASE WHEN length(job_id) % 2 = 0 THEN '"86400"' ELSE '7' END || ', "contentType": "video/mp4"}' WHEN batch_id % 5 = 3 THEN CASE length(job_id) % 3 WHEN 0 THEN '{"fileName": ' WHEN 1 THEN '[1, 2]' ELSE '{"expiration": 900}' END WHEN batch_id % 5 = 4 THEN '' END AS body"""
+
+
+@query("parse_upload_requests", "P09", f"""{cte('requests')}, sent AS (SELECT job_id, batch_id, {ASKED}, {SENT} FROM requests),
+read_ AS (SELECT *, coalesce(query, '') <> '' AS asked, coalesce(body, '') <> '' AS held, CASE WHEN json_valid(coalesce(body, '')) THEN body END AS valid FROM sent),
+p AS (SELECT *, CASE WHEN asked THEN CASE WHEN regexp_matches(query, '(^|&)fileName=') THEN url_decode(replace(regexp_extract(query, '(?:^|&)fileName=([^&]*)', 1), '+', ' ')) END ELSE json_extract_string(valid, '$.fileName') END AS file_name,
+ CASE WHEN asked THEN CASE WHEN regexp_matches(query, '(^|&)contentType=') THEN regexp_extract(query, '(?:^|&)contentType=([^&]*)', 1) END ELSE json_extract_string(valid, '$.contentType') END AS content_type,
+ CASE WHEN asked THEN CASE WHEN regexp_matches(query, '(^|&)expiration=') THEN regexp_extract(query, '(?:^|&)expiration=([^&]*)', 1) END ELSE json_extract_string(valid, '$.expiration') END AS lifetime FROM read_),
+e AS (SELECT *, CASE WHEN NOT asked AND NOT held THEN 'Missing required parameters' WHEN NOT asked AND coalesce(json_type(valid), '') <> 'OBJECT' THEN 'Request body cannot be read' WHEN lifetime IS NOT NULL AND try_cast(lifetime AS bigint) IS NULL THEN 'expiration is not a whole number'
+ WHEN coalesce(file_name, '') = '' THEN 'fileName is required' END AS error FROM p)
+SELECT job_id, batch_id, file_name, CASE WHEN error IS NULL THEN coalesce(content_type, 'application/octet-stream') END AS content_type,
+ CASE WHEN error IS NULL THEN CASE WHEN try_cast(lifetime AS bigint) BETWEEN 300 AND 604800 THEN try_cast(lifetime AS bigint) ELSE 3600 END END AS expires_in,
+ CASE WHEN error IS NULL THEN 'uploads/' || file_name END AS key, CASE WHEN error IS NULL THEN 200 ELSE 400 END AS status_code, error FROM e""")
+def _(t):
+    return J.parse_upload_requests(t("requests").selectExpr("job_id", "batch_id", ASKED, SENT))
+
+
+@query("upsert_counters", "S05", """WITH c AS (SELECT 'job-' || l_orderkey AS job_id, count(*) AS n, string_agg(DISTINCT 'b-' || (l_partkey % 9), ',' ORDER BY 'b-' || (l_partkey % 9)) AS ids, arg_max('v-' || l_suppkey, l_shipdate::varchar || lpad(l_linenumber::varchar, 4, '0') || lpad(l_suppkey::varchar, 9, '0') || lpad(l_partkey::varchar, 9, '0')) AS model FROM lineitem GROUP BY l_orderkey)
+SELECT 'job-' || o_orderkey AS job_id, coalesce(model, 'none') AS model, cast(5 + coalesce(n, 0) AS bigint) AS processed, CASE WHEN ids IS NULL THEN 'start' ELSE ids || ',start' END AS batch_ids FROM orders o LEFT JOIN c ON c.job_id = 'job-' || o_orderkey""")
+def _(t):
+    current = t.raw("orders").selectExpr("'job-' || o_orderkey AS job_id", "'none' AS model", "5L AS processed", "array('start') AS batch_ids", "timestamp_ntz'1990-01-01 00:00:00' AS updated_at")
+    order = "lpad(l_linenumber, 4, '0') || lpad(l_suppkey, 9, '0') || lpad(l_partkey, 9, '0') AS seq"
+    each = t.raw("lineitem").selectExpr("'job-' || l_orderkey AS job_id", "'v-' || l_suppkey AS model", "1L AS processed", "array('b-' || (l_partkey % 9)) AS batch_ids", "cast(l_shipdate AS timestamp_ntz) AS updated_at", order)
+    after = J.upsert_jobs(current, each, add=["processed"], union=["batch_ids"], sequence="seq")
+    return after.select("job_id", "model", "processed", F.array_join(F.array_sort("batch_ids"), ",").alias("batch_ids"))
+
+
 VERSIONS = "versions AS (SELECT job_id, status, content_length, updated_at FROM jobs UNION ALL SELECT job_id, 'COMPLETED', NULL, updated_at + INTERVAL 1 DAY FROM jobs WHERE status = 'PROCESSING' AND cast(substr(job_id, 5) AS bigint) % 3 = 0)"
 
 

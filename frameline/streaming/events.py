@@ -30,9 +30,23 @@ def dead_letters_batch(receives: DataFrame, limit: int = 5) -> DataFrame:
     return counts.filter(F.col("receives") > limit).select("message_id")
 
 
-def incremental_orphans(objects: DataFrame, known_jobs: DataFrame) -> DataFrame:
-    """New objects of a listing stream that belong to no known job (static table)."""
-    return inventory.with_job(objects).join(known_jobs.select("job_id"), "job_id", "left_anti")
+def incremental_orphans(objects: DataFrame, known_jobs: DataFrame, new_jobs: DataFrame | None = None, horizon: str = "1 day", delay: str = "1 hour", salts: int = 16) -> DataFrame:
+    """New objects of a listing stream that belong to no known job (static table) and to no job that arrives in time.
+
+    With ``new_jobs``, a stream of ``job_id, ts``, an object (``ts``) is given out only when the watermark has passed
+    its time by ``horizon`` and no job of its id has come with a time at most ``horizon`` before or after. Without it, an
+    object is judged by the static table alone. The objects of one job are spread over ``salts`` groups, its one row is
+    repeated for each.
+    """
+    unknown = inventory.with_job(objects).join(known_jobs.select("job_id"), "job_id", "left_anti")
+    if new_jobs is None:
+        return unknown
+    left = unknown.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(salts)).cast("int")).withWatermark("ts", delay).alias("o")
+    right = new_jobs.select("job_id", F.col("ts").alias("job_ts")).withWatermark("job_ts", delay)
+    right = right.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).alias("j")
+    near = F.expr(f"j.job_ts >= o.ts - INTERVAL {horizon} AND j.job_ts <= o.ts + INTERVAL {horizon}")
+    met = left.join(right, (F.col("o.job_id") == F.col("j.job_id")) & (F.col("o.salt") == F.col("j.salt")) & near, "left_outer")
+    return met.filter(F.col("j.job_ts").isNull()).select("o.*").drop("salt")
 
 
 def audit_findings(events: DataFrame, delay: str = "10 minutes", period: str = "5 minutes", threshold: int = 1) -> DataFrame:

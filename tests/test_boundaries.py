@@ -193,6 +193,49 @@ def test_results_without_a_batch_number_keep_apart(spark):
     assert got == [(0, ["0", "1", "2", "3"]), (1, ["4", "5"]), (10, ["42"]), (None, ["abc"]), (None, [None]), (None, [None])]
 
 
+@pytest.mark.parametrize("query,body,status,name,lifetime,error", [
+    ("fileName=a%20b+c.mp4&expiration=600", None, 200, "a b c.mp4", 600, None), ("fileName=a", '{"fileName": "b"}', 200, "a", 3600, None),
+    ("x=1", '{"fileName": "b"}', 400, None, None, "fileName is required"), ("fileName=", None, 400, "", None, "fileName is required"),
+    ("", '{"fileName": "b", "expiration": 700}', 200, "b", 700, None), (None, '{"fileName": "b", "expiration": "12"}', 200, "b", 3600, None),
+    (None, '{"fileName": "b", "expiration": "soon"}', 400, "b", None, "expiration is not a whole number"), ("fileName=a&expiration=1.5", None, 400, "a", None, "expiration is not a whole number"),
+    (None, "{", 400, None, None, "Request body cannot be read"), (None, "[]", 400, None, None, "Request body cannot be read"), (None, "null", 400, None, None, "Request body cannot be read"),
+    (None, None, 400, None, None, "Missing required parameters"), ("", "", 400, None, None, "Missing required parameters"), ("fileName=a&fileName=b&fileName", None, 200, "a", 3600, None),
+])
+def test_whole_upload_requests(spark, query, body, status, name, lifetime, error):
+    got = jobs.parse_upload_requests(spark.createDataFrame([(1, query, body)], "key_of_row int, query string, body string")).first()
+    assert (got.key_of_row, got.status_code, got.file_name, got.expires_in, got.error) == (1, status, name, lifetime, error)
+    assert got.key == (f"uploads/{name}" if status == 200 else None) and got.content_type == ("application/octet-stream" if status == 200 else None)
+
+
+def test_repaired_values(spark):
+    """Zeros, probes that report nothing, keys that cannot be decoded, numbers beyond the total."""
+    from frameline.functions import names as N
+    from frameline.functions import sizing as Z
+
+    rates = spark.createDataFrame([("30000/1001",), ("0/0",), ("N/A",), ("0/1",), ("25",), (None,), ("a/b",)], "v string").select(Z.frame_rate(F.col("v")).alias("r"))
+    assert [None if r.r is None else float(r.r) for r in rates.collect()] == [29.97, None, None, 0.0, 25.0, None, None]
+    keys = spark.createDataFrame([("f", 7, 1200), ("f", 12345, 1200)], "b string, n long, total long").select(N.frame_key(F.col("b"), F.col("n"), F.col("total"), F.lit("png")).alias("k"))
+    assert [r.k for r in keys.collect()][1].count("12345") == 1
+    body = '{"Records":[{"s3":{"bucket":{"name":"b"},"object":{"key":"a%zz.mp4"}}}]}'
+    event = jobs.unpack_upload_event(spark.createDataFrame([(body,)], "body string")).first()
+    assert event.status_code == 400 and "cannot be decoded" in event.error
+    wide = jobs.pivot_task_attributes(spark.createDataFrame([("t", "duration", "N/A"), ("t", "frames_total", "12")], "task_id string, attr string, value string"), {"duration": "double", "frames_total": "long"}).first()
+    assert (wide.duration, wide.frames_total) == (None, 12)
+    kept = frames.keep_recompressed(spark.createDataFrame([(0, 0), (0, 5), (100, 80), (100, 95)], "size long, new_size long")).collect()
+    assert [r.reduction_percent for r in kept if r.size == 100] == [20, 5] and all(r.reduction_percent is None for r in kept if r.size == 0)
+    fleet = resources.fallback_capacity(spark.createDataFrame([(1, 0.0, 0)], "fleet_id long, fulfilled double, target long")).first()
+    assert fleet.on_demand == 0
+
+
+def test_counters_and_sets_of_a_job(spark):
+    now_, later = NOW, NOW + timedelta(hours=1)
+    current = spark.createDataFrame([("a", "NEW", 1, ["x"], now_), ("b", "NEW", None, None, now_)], "job_id string, status string, done long, ids array<string>, updated_at timestamp_ntz")
+    shape = "job_id string, status string, done long, ids array<string>, updated_at timestamp_ntz, seq long"
+    more = spark.createDataFrame([("a", "B", 2, ["y", "x"], later, 1), ("a", "C", 3, None, later, 2), ("b", None, 4, ["z"], later, 3), ("c", "A", None, [], now_, 1)], shape)
+    got = {r.job_id: (r.status, r.done, r.ids) for r in jobs.upsert_jobs(current, more, add=["done"], union=["ids"], sequence="seq").collect()}
+    assert got == {"a": ("C", 6, ["x", "y"]), "b": ("NEW", 4, ["z"]), "c": ("A", None, [])}
+
+
 def test_retry_stops_at_the_limit(spark):
     rows = [(1, i, False) for i in range(1, 9)] + [(2, 1, False), (2, 2, True), (3, 1, False)]
     tries = spark.createDataFrame(rows, "frame_id int, seq int, ok boolean")

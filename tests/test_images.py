@@ -42,6 +42,29 @@ def test_cut_enlarge_merge(spark, some, tile, pad, scale):
         assert np.array_equal(got[i], P.upsample_nearest(a, scale))
 
 
+@pytest.mark.parametrize("tile,pad,scale,limit", [(3, 1, 1, 1), (4, 2, 2, 700), (64, 10, 3, 10**9), (2, 0, 4, 2000)])
+def test_stripes_are_the_image(spark, some, tile, pad, scale, limit):
+    df = table(spark, *some)
+    tiles = M.upsample_nearest(M.cut_tiles(df, tile, pad), scale, ("image_id", "tile_id"))
+    rows = M.merge_stripes(tiles, df, tile, pad, scale, limit).collect()
+    for i, a in enumerate(some):
+        own = sorted((r for r in rows if r.image_id == i), key=lambda r: r.stripe)
+        assert [r.stripe for r in own] == list(range(len(own))) and not any(r.missing for r in own)
+        assert [r.y0 for r in own] == [sum(x.h for x in own[:k]) for k in range(len(own))]
+        assert all(len(r.data) * 8 <= max(limit, r.w * r.c * 8) for r in own)
+        assert np.array_equal(np.concatenate([np.array(r.data).reshape(r.h, r.w, r.c) for r in own]), P.upsample_nearest(a, scale))
+
+
+def test_stripes_of_a_large_image_stay_within_the_bound(spark, some):
+    rows = M.stripe_rows(3840, 3, 4)
+    assert rows * 3840 * 4 * 3 * 8 <= M.STRIPE_BYTES < (rows + 1) * 3840 * 4 * 3 * 8 and rows > 100
+    df = table(spark, some[0])  # 7 x 11: 2 x 3 tiles of 4
+    only = M.merge_stripes(M.cut_tiles(df, 4, 1).filter("tile_id = 1"), df, 4, 1, stripe_bytes=11 * 3 * 8 * 2).orderBy("stripe").collect()
+    assert [(r.missing, r.h) for r in only] == [(2, 2), (2, 2), (3, 2), (3, 1)]
+    none = M.merge_stripes(M.cut_tiles(df, 4, 1).limit(0), df, 4, 1).collect()
+    assert [(r.missing, sum(r.data)) for r in none] == [(6, 0.0)]
+
+
 def test_cut_tiles_match_the_grid(spark, some):
     df = table(spark, *some)
     grid = {(r.image_id, r.tile_id): (r.pad_y1 - r.pad_y0, r.pad_x1 - r.pad_x0) for r in M.tile_grid(df, 3, 1).collect()}

@@ -103,6 +103,21 @@ def test_hot_keys_are_reduced_before_the_shuffle(spark):
     assert maps.count() < 300 and sum(int.from_bytes(bytes(r.bits), "big").bit_count() for r in maps.collect()) == 300_000
 
 
+def test_orphans_wait_for_late_jobs(spark):
+    """A job that comes after its object, within the horizon, keeps it; the stream gives what the batch gives."""
+    shape = "key string, size long, ts timestamp"
+    objects = [[("known/a", 1, day(0)), ("late/a", 1, day(0)), ("late/b", 2, day(0, 2)), ("lost/a", 1, day(0))], [("lost/b", 1, day(1)), ("toolate/a", 1, day(0, 3))], [("end/a", 1, day(30))], [("end/b", 1, day(31))]]
+    jobs = [[("other", day(0))], [("late", day(0, 20)), ("toolate", day(6))], [("end", day(30))], [("end2", day(31))]]
+    found = steps(spark, scratch_dir(spark, "objects"), *objects, shape=shape)
+    arriving = steps(spark, scratch_dir(spark, "arriving"), *jobs, shape="job_id string, ts timestamp")
+    known = spark.createDataFrame([("known",)], "job_id string")
+    got = sorted(r.key for r in run_to_table(spark, E.incremental_orphans(found, known, arriving, "2 days"), "orphans").collect())
+    assert got == ["lost/a", "lost/b", "toolate/a"]
+    rows_, come = [r for b in objects for r in b], [r for b in jobs for r in b]
+    want = [k for k, _, t in rows_ if k.split("/")[0] != "known" and t < day(29) and not any(j == k.split("/")[0] and abs(at - t) <= timedelta(days=2) for j, at in come)]
+    assert got == sorted(want)
+
+
 @pytest.mark.parametrize("kind", ["mixed", "ordered"])
 def test_state_machine_in_one_batch_and_many(spark, pieces, kind):
     changes = stream(spark, pieces, kind, "status_changes").withColumn("stage", F.expr(STAGE))
