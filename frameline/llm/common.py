@@ -30,6 +30,14 @@ def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     return docs.select(F.col(key).cast("long").alias(key), F.coalesce(F.col(text), F.lit("")).alias(text))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one where ``df`` has a column of that name already."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def pieces_of(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from frameline.llm.common import texts
+from frameline.llm.common import fresh, texts
 
 # The base patterns, the kinds in their order, and key types.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -207,7 +207,8 @@ def redacted(docs: DataFrame) -> DataFrame:
     def clean(column: pd.Series) -> pd.Series:
         return column.map(redact, na_action="ignore")
 
-    new = docs.withColumn("_clean", clean(F.col("text")))
-    changed = ~F.col("_clean").eqNullSafe(F.col("text"))
-    shown = {"text": F.col("_clean"), "n_chars": F.when(changed, F.length("_clean").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))}
+    masked = fresh(docs, "_clean")
+    new = docs.withColumn(masked, clean(F.col("text")))
+    changed = ~F.col(masked).eqNullSafe(F.col("text"))
+    shown = {"text": F.col(masked), "n_chars": F.when(changed, F.length(masked).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))}
     return new.select(*[shown.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])

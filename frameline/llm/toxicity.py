@@ -190,5 +190,4 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` (all columns) without the documents whose score reaches the threshold."""
     toxic = scorer(docs.sparkSession, fit(docs, labels))
-    kept = docs.withColumn("_toxicity", toxic(F.col("text"))).filter(F.col("_toxicity") < THRESHOLD)
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.filter(toxic(F.col("text")) < THRESHOLD)

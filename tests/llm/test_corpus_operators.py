@@ -227,3 +227,19 @@ def test_pipeline_equals_its_steps_by_hand(spark, tmp_path):
         at = spark.read.parquet(str(tmp_path / name))
     whole = corpus_pipeline.run(spark, folder)
     assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, after))
+
+
+def test_stages_leave_columns_of_any_name(spark):
+    """Columns that are called like the helpers of a stage come out as they went in."""
+    names = ("_toxicity", "_clean", "_place", "_node", "_Clean_")
+    rows = [(i, f"some words of text number {i} that nobody minds", 45, *[f"{n}{i}" for n in names]) for i in range(6)]
+    rows += [(6, rows[0][1], 45, *["copy"] * 5), (7, "password = hunter2hunter2 and more", 34, *["s"] * 5), (None, None, None, *[None] * 5)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, n_chars int, " + ", ".join(f"`{n}` string" for n in names))
+    marks = spark.createDataFrame([(i, 1, i % 2) for i in range(6)], "doc_id long, quality int, toxic int")
+    given = {r.doc_id: tuple(r)[3:] for r in table.collect()}
+    for stage in (lambda d: toxicity.without_toxic(d, marks), omh.one_of_each, secrets.redacted):
+        out = stage(table)
+        assert out.columns == table.columns and out.dtypes == table.dtypes
+        found = out.collect()
+        assert found and all(tuple(r)[3:] == given[r.doc_id] for r in found)
+    assert "hunter2" not in "".join(r.text or "" for r in secrets.redacted(table).collect())
