@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from frameline import schemas
 from frameline.functions import sizing
-from frameline.operators.image_rows import _cells, _Rows
+from frameline.operators.image_rows import FLUSH_BYTES, _cells, _Rows
 
 # Model variants with the scale of their output; the default takes the place of unknown ones.
 VARIANT_SCALE = {"real_sr": 4, "classical_sr": 4, "lightweight_sr": 4, "color_dn": 1, "jpeg_car": 1}
@@ -90,7 +90,8 @@ def infer(
     """Runs a model on every request row; one result row per request, and a failing row never fails the rest.
 
     Rows carry ``job_id, batch_id, output_file_path, model_key`` and an image (``data`` null: unreadable).
-    ``tasks`` spreads the work evenly by request instead of by stored bytes.
+    ``tasks`` spreads the work evenly by request instead of by stored bytes. Results are given out after ``batch`` rows
+    or ``FLUSH_BYTES``, whichever comes first.
     """
     element = requests.schema["data"].dataType.elementType
     dtype = np.dtype({"tinyint": "i1", "smallint": "i2", "int": "i4", "bigint": "i8", "float": "f4", "double": "f8"}[element.simpleString()])
@@ -121,7 +122,7 @@ def infer(
                     rows.add((row["job_id"], row["batch_id"], 200, row["output_file_path"], None), result)
                 except Exception as error:  # noqa: BLE001 - the row reports it
                     rows.add((row["job_id"], row["batch_id"], 500, None, str(error)), np.empty((0, 0, 0)))
-                if len(rows.arrays) >= batch:
+                if len(rows.arrays) >= batch or rows.bytes >= FLUSH_BYTES:
                     yield rows.batch()
         if rows.arrays:
             yield rows.batch()

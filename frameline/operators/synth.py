@@ -259,17 +259,25 @@ def replace_unreadable(manifest: DataFrame, failures: DataFrame, seed: int = 0)
     return readable.select("item", "path", F.lit(False).alias("replaced")).unionByName(replaced)
 
 
-def pair_images(lq: DataFrame, gt: DataFrame, template: str = "{}") -> DataFrame:
+def pair_images(lq: DataFrame, gt: DataFrame, template: str = "{}", lq_root: str | None = None, gt_root: str | None = None) -> DataFrame:
     """Pairs by file stem: the low-quality stem is ``template`` filled with the high-quality stem.
 
-    A file without its partner keeps a row with an error.
+    With both roots, files are paired inside the same folder below them, so equal names in different folders stay apart;
+    without, folders do not matter. A file without its partner keeps a row with an error.
     """
     before, after = template.split("{}")
+
+    def folder(path: str, root: str | None) -> Column:
+        if lq_root is None or gt_root is None:
+            return F.lit("")
+        below = F.when(F.col(path).startswith(f"{root.rstrip('/')}/"), F.substring(F.col(path), F.lit(len(root.rstrip("/")) + 2), F.length(path))).otherwise(F.col(path))
+        return F.regexp_replace(below, "[^/]*$", "")
+
     want = F.concat(F.lit(before), names.stem(F.col("gt_path")), F.lit(after))
-    left = gt.select("gt_path", want.alias("_stem"))
-    right = lq.select("lq_path", names.stem(F.col("lq_path")).alias("_stem"))
+    left = gt.select("gt_path", folder("gt_path", gt_root).alias("_folder"), want.alias("_stem"))
+    right = lq.select("lq_path", folder("lq_path", lq_root).alias("_folder"), names.stem(F.col("lq_path")).alias("_stem"))
     error = F.when(F.col("lq_path").isNull(), "no low-quality file").when(F.col("gt_path").isNull(), "no high-quality file")
-    return left.join(right, "_stem", "full").select("gt_path", "lq_path", error.alias("error"))
+    return left.join(right, ["_folder", "_stem"], "full").select("gt_path", "lq_path", error.alias("error"))
 
 
 def blend_weights(a: DataFrame, b: DataFrame, w0: float, w1: float) -> DataFrame:

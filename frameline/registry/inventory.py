@@ -2,10 +2,13 @@
 
 from pyspark.sql import functions as F
 
+from frameline import scratch_dir
 from frameline.fixtures import JOB_NOW, cte
 from frameline.operators import inventory as I
 from frameline.registry import query
 from frameline.registry.jobs import ts
+from frameline.sources.files import read_inventory, read_upload_events
+from frameline.streaming.run import run_to_table
 
 NOW = f"TIMESTAMP '{JOB_NOW}'"
 OWNED = "owned AS (SELECT *, split_part(key, '/', 1) AS job_id FROM objects)"
@@ -105,6 +108,21 @@ STORED = "SELECT *, CASE size % 3 WHEN 0 THEN 'source' WHEN 1 THEN 'processed' E
 ALL_RULES = ", ".join(f"('{b}', '{p}', '{a}', {d}, {({**I.ACTION_RANK, 'ABORT': 0})[a]})" for b, p, a, d in I.STORE_RULES)
 
 
+@query("inventory_prefix", "S01", f"{cte('objects')} SELECT * FROM objects WHERE starts_with(key, 'job-1')")
+def _(t):
+    path = scratch_dir(t.spark, "inventory")
+    t("objects").write.parquet(path)
+    return read_inventory(t.spark, path, prefix="job-1")
+
+
+@query("read_upload_events", "S06", f"""{cte('upload_events')}, k AS (SELECT body, json_extract_string(body, '$.Records[0].s3.object.key') AS key FROM upload_events)
+SELECT body FROM k WHERE key IS NULL OR (starts_with(key, 'data/src/real/') AND ends_with(key, '.MP4'))""")
+def _(t):
+    path = scratch_dir(t.spark, "notifications")
+    t("upload_events").select("body").write.text(path)
+    return run_to_table(t.spark, read_upload_events(t.spark, path, "data/src/real/", ".MP4", streaming=True), "uploads_seen")
+
+
 @query("store_lifecycle", "P23", f"""{cte('objects', stored=STORED)}, rules(bucket, prefix, action, days, rank) AS (VALUES {ALL_RULES}),
 aged AS (SELECT *, cast(floor((epoch_us(TIMESTAMP '1998-06-15 12:00:00') - epoch_us(last_modified)) / 1e6 / 86400) AS bigint) AS age_days FROM stored),
 hit AS (SELECT a.bucket, a.key, a.age_days, r.action, r.days, r.rank FROM aged a JOIN rules r ON r.bucket = a.bucket AND (r.prefix = '' OR starts_with(key, r.prefix) OR contains(key, '/' || r.prefix)) AND (r.action = 'ABORT') = incomplete),

@@ -270,6 +270,17 @@ def _(t):
     return S.pair_images(lq, gt, "{}x4")
 
 
+@query("pair_images_by_folder", "J14", """WITH f AS (SELECT vec_id, vec_id % 7 AS folder, vec_id // 50 AS stem FROM embeddings), g AS (SELECT folder, stem, count(*) AS n FROM f WHERE vec_id % 10 <> 4 GROUP BY ALL), q AS (SELECT folder, stem, count(*) AS n FROM f WHERE vec_id % 10 <> 3 GROUP BY ALL)
+SELECT folder, coalesce(cast(sum(g.n * q.n) AS bigint), 0) AS pairs, coalesce(cast(sum(g.n) FILTER (WHERE q.n IS NULL) AS bigint), 0) AS alone_high, coalesce(cast(sum(q.n) FILTER (WHERE g.n IS NULL) AS bigint), 0) AS alone_low FROM g FULL JOIN q USING (folder, stem) GROUP BY folder""")
+def _(t):
+    ids = t.raw("embeddings").selectExpr("vec_id", "vec_id % 7 AS folder", "vec_id div 50 AS stem")
+    gt = ids.filter("vec_id % 10 <> 4").selectExpr("'gt/set/' || folder || '/' || stem || '.png' AS gt_path")
+    lq = ids.filter("vec_id % 10 <> 3").selectExpr("'lq/' || folder || '/' || stem || 'x4.png' AS lq_path")
+    paired = S.pair_images(lq, gt, "{}x4", lq_root="lq", gt_root="gt/set/")
+    folder = F.coalesce(F.split("gt_path", "/")[2], F.split("lq_path", "/")[1]).cast("long").alias("folder")
+    return paired.groupBy(folder).agg(F.count_if(F.col("error").isNull()).alias("pairs"), F.count_if(F.col("lq_path").isNull()).alias("alone_high"), F.count_if(F.col("gt_path").isNull()).alias("alone_low"))
+
+
 @query("blend_weights", "J15", f"""WITH a AS (SELECT vec_id AS name, unnest(embedding) AS v, generate_subscripts(embedding, 1) AS i FROM embeddings)
 SELECT name, i - 1 AS i, round(v::double * 0.25::double + (v::double * 2 + 1) * 0.75::double, 6) AS v FROM a""")
 def _(t):

@@ -34,8 +34,8 @@ def read_frames(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 def write_frames(frames: DataFrame, path: str, compress: bool = False) -> None:
     """Store ``(job_id, key, content)`` by job; with ``compress`` a gzip twin of each frame is stored too.
 
-    Rows are spread by job and key hash before the write, so that a job with very many frames is written by
-    many tasks while a small job still ends up in few files.
+    Rows are rebalanced by job before the write: adaptive execution cuts a job with very many frames into parts of the
+    advisory size, each written by a task of its own, and puts small jobs together, which end up in few files.
     """
     from frameline.operators.infer import gzip_content
 
@@ -43,8 +43,7 @@ def write_frames(frames: DataFrame, path: str, compress: bool = False) -> None:
     if compress:
         twin = gzip_content(rows, keep=("job_id",)).select("job_id", "key", "content")
         rows = rows.unionByName(twin)
-    rows = rows.repartition("job_id", F.pmod(F.xxhash64("key"), F.lit(16)))
-    rows.write.mode("overwrite").partitionBy("job_id").option("maxRecordsPerFile", 100_000).parquet(path)
+    rows.hint("rebalance", "job_id").write.mode("overwrite").partitionBy("job_id").option("maxRecordsPerFile", 100_000).parquet(path)
 
 
 def _upload_keys(text: Column, prefix: str | None, suffix: str | None) -> Column | None:
