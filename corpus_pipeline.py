@@ -6,6 +6,9 @@
 4. secrets: secrets are replaced by a mark in ``text``, ``n_chars`` follows; every document stays;
 5. tokens: every remaining document with its token count and the digests of its ids and of the decoded text.
 
+Rows are whole documents, pairs of rows even two, so every stage sets Arrow batches of ``BATCH_ROWS`` rows for its session:
+a Python worker then holds a few megabytes of texts at a time instead of tens.
+
 Stages 1 to 4 return the columns of ``documents``. SQL can express neither the trained model nor the sketches, so the
 pipeline is tested against a brute-force version.
 """
@@ -19,25 +22,35 @@ from frameline.llm.common import keep, read
 from frameline.llm.queries import TOKENIZER
 
 ORACLE_SQL = None
+BATCH_ROWS = 500
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return toxicity.without_toxic(docs, read(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return omh.one_of_each(docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return decontaminate.without_benchmark(docs, read(spark, sf_dir, "benchmark"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return secrets.redacted(docs)
 
 
 def count_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _small_batches(spark)
     return bpe.encode_decode(docs, TOKENIZER)
 
 
