@@ -183,7 +183,11 @@ back AS (SELECT image_id, k, a.z AS y, b.z AS x, sum(a.w * b.w * kept) + 128 AS
 
 
 GRID = "(SELECT cast(i AS int) AS y, cast(j AS int) AS x FROM range(0, 16) a(i), range(0, 16) b(j)) g"
-QUALITIES = F.when(F.col("image_id") % 3 == 0, 10.0).when(F.col("image_id") % 3 == 1, 50.0).otherwise(90.0)
+
+
+def quality():
+    """The column that says in Spark what ``QUALITY`` says in SQL."""
+    return F.when(F.col("image_id") % 3 == 0, 10.0).when(F.col("image_id") % 3 == 1, 50.0).otherwise(90.0)
 
 
 @query("jpeg_blocks", "D06", f"""{cte('pixels')}, px AS (SELECT * FROM pixels WHERE image_id % 2 = 0 OR (y < 7 AND x < 5)),
@@ -193,7 +197,7 @@ def _(t):
     odd = F.col("image_id") % 2 == 1
     cut = t.images().withColumn("data", F.transform(F.filter("data", lambda v, i: ~odd | ((i < 56) & (i % 8 < 5))), lambda v: v / 255))
     cut = cut.withColumn("h", F.when(odd, 7).otherwise(8)).withColumn("w", F.when(odd, 5).otherwise(8))
-    return rounded_off_ties(to_pixels(S.compress(cut.withColumn("quality", QUALITIES))))
+    return rounded_off_ties(to_pixels(S.compress(cut.withColumn("quality", quality()))))
 
 
 TO_LIGHT = " ".join(f"WHEN {k} THEN CASE c WHEN 0 THEN {a}::double WHEN 1 THEN {b}::double ELSE {c}::double END" for k, (a, b, c) in enumerate(P.TO_LIGHT))
@@ -206,7 +210,7 @@ full_ AS (SELECT i.image_id, i.k, g.y, g.x, coalesce(pl.v, 0) AS v FROM (SELECT
 SELECT px.image_id, px.y, px.x, px.c, round(greatest(0, least(255, sum((back.v - CASE k WHEN 0 THEN 0 ELSE 128 END) * CASE px.c {FROM_LIGHT} END))) / 255 + 1e-9::double, 6) AS v
 FROM px JOIN back ON back.image_id = px.image_id AND back.y = CASE k WHEN 0 THEN px.y ELSE px.y // 2 END AND back.x = CASE k WHEN 0 THEN px.x ELSE px.x // 2 END GROUP BY px.image_id, px.y, px.x, px.c""")
 def _(t):
-    return rounded_off_ties(to_pixels(S.compress(rgb(t).withColumn("quality", QUALITIES))))
+    return rounded_off_ties(to_pixels(S.compress(rgb(t).withColumn("quality", quality()))))
 
 
 def large(t):
