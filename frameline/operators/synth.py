@@ -20,6 +20,7 @@ from frameline.functions import pixels as P
 from frameline.functions.sizing import int_div
 from frameline.operators.image_rows import map_images
 from frameline.operators.skew import ranked_in_group
+from frameline.session import scratch_dir
 
 # Blur kernel kinds and kernel sizes.
 KERNELS = ("iso", "aniso", "generalized_iso", "generalized_aniso", "plateau_iso", "plateau_aniso")
@@ -245,18 +246,20 @@ def shuffle_pairs(pairs: DataFrame, pool: int, batch: int, seed: int = 0, id: st
 def replace_unreadable(manifest: DataFrame, failures: DataFrame, seed: int = 0) -> DataFrame:
     """Manifest ``(item, path)`` with a random readable path in place of each failed one.
 
-    Picks come only from readable rows, so one try is enough. Readable paths are numbered in hash slices,
-    and a replaced row finds its pick by number.
+    Picks come only from readable rows, so one try is enough. The manifest is read and marked once (a written table);
+    its readable paths are numbered in hash slices, and a replaced row finds its pick by number.
     """
-    failed = failures.select("path").distinct()
-    readable = manifest.join(failed, "path", "left_anti")
-    hashed = readable.select("path").distinct().withColumn("_draw", D.draw32(seed, F.col("path")))
+    spark, marked = manifest.sparkSession, scratch_dir(manifest.sparkSession, "manifest")
+    failed = failures.select("path").distinct().withColumn("_failed", F.lit(True))
+    known = manifest.join(failed, "path", "left").select("item", "path", F.coalesce("_failed", F.lit(False)).alias("replaced"))
+    known.write.parquet(marked)
+    rows = spark.read.schema(known.schema).parquet(marked)
+    hashed = rows.filter(~F.col("replaced") & F.col("path").isNotNull()).select("path").distinct().withColumn("_draw", D.draw32(seed, F.col("path")))
     numbered = ranked_in_group(hashed, [], ["_draw", "path"], F.shiftright("_draw", 16), "_number").select(F.col("path").alias("new_path"), "_number")
     count = hashed.agg(F.count(F.lit(1)).alias("n")).scalar()
-    bad = manifest.join(failed, "path", "left_semi")
-    picks = bad.withColumn("_number", F.floor(D.uniform(seed, F.col("item"), "replace") * count) + 1)
-    replaced = picks.join(numbered, "_number", "left").select("item", F.col("new_path").alias("path"), F.lit(True).alias("replaced"))
-    return readable.select("item", "path", F.lit(False).alias("replaced")).unionByName(replaced)
+    picks = rows.filter("replaced").withColumn("_number", F.floor(D.uniform(seed, F.col("item"), "replace") * count) + 1)
+    replaced = picks.join(numbered, "_number", "left").select("item", F.col("new_path").alias("path"), "replaced")
+    return rows.filter(~F.col("replaced")).unionByName(replaced)
 
 
 def pair_images(lq: DataFrame, gt: DataFrame, template: str = "{}", lq_root: str | None = None, gt_root: str | None = None) -> DataFrame:
