@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 HELD = 1 << 16  # keys a task holds before it gives them out
 BLOCK = 1 << 13  # frames of a bitmap
+SENT = 1 << 12  # bitmaps of a record batch
 
 
 def combined(rows: DataFrame, keys: Sequence[str], folds: dict[str, str]) -> DataFrame:
@@ -44,23 +44,28 @@ def combined(rows: DataFrame, keys: Sequence[str], folds: dict[str, str]) -> Dat
 def frame_bitmaps(frames: DataFrame) -> DataFrame:
     """``job_id, total, block, bits, at`` from ``job_id, n, total, at``: the frames of a task as bitmaps.
 
-    A bitmap holds ``BLOCK`` neighbouring frame numbers, ``at`` is the latest time. Numbers below 1 and rows without a
-    job or number are left out.
+    A bitmap holds ``BLOCK`` neighbouring frame numbers, ``at`` is the latest time. A task holds ``HELD`` bitmaps before it
+    gives them out. Numbers below 1 and rows without a job or number are left out.
     """
+    shape = pa.schema([("job_id", pa.string()), ("total", pa.int64()), ("block", pa.int64()), ("bits", pa.binary()), ("at", pa.int64())])
+
+    def given(held: dict) -> Iterator[pa.RecordBatch]:
+        rows = [(job, total, block, bits.to_bytes((bits.bit_length() + 7) // 8, "little"), at) for (job, block), (bits, total, at) in held.items()]
+        for start in range(0, len(rows), SENT):
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[start : start + SENT]), shape)], schema=shape)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = {}
         for batch in batches:
-            table = pa.Table.from_batches([batch]).to_pandas().dropna(subset=["job_id", "n", "total"])
-            table = table[table["n"] >= 1]
-            out, number = [], table["n"].astype(np.int64) - 1
-            table = table.assign(block=number // BLOCK, bit=number % BLOCK)
-            for (job, block), at in table.groupby(["job_id", "block"], sort=False).indices.items():
-                bits = np.zeros(BLOCK, np.uint8)
-                bits[table["bit"].to_numpy()[at]] = 1
-                packed = np.packbits(bits).tobytes().rstrip(b"\0")
-                out.append((job, int(table["total"].to_numpy()[at].max()), int(block), packed, int(table["at"].to_numpy()[at].max())))
-            columns = list(zip(*out)) if out else [[]] * 5
-            types = (pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["job_id", "total", "block", "bits", "at"])
+            for job, n, total, at in zip(*[c.to_pylist() for c in batch.columns]):
+                if job is None or n is None or total is None or n < 1:
+                    continue
+                block, bit = divmod(int(n) - 1, BLOCK)
+                bits, most, latest = held.get((job, block), (0, total, at))
+                held[job, block] = (bits | 1 << bit, max(most, total), at if latest is None else latest if at is None else max(latest, at))
+            if len(held) >= HELD:
+                yield from given(held)
+                held = {}
+        yield from given(held)
 
     return frames.select("job_id", "n", "total", "at").mapInArrow(run, "job_id string, total bigint, block bigint, bits binary, at bigint")

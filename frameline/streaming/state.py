@@ -1,12 +1,13 @@
 """Keyed state: dead letters, the job state machine, alarms over periods in a row, completion.
 
-Rows are reduced before the shuffle (:mod:`frameline.streaming.combine`), so a hot key is no large group. State has a
-fixed size for a key (completion: a bit for a frame until the job is complete) and a finite life: event-time timers drop
-it a stated number of days after the last row of its key; rows that come later than the stated delay are left out. Processing-time expiry is not used: what is forgotten would
-depend on when a run happens. Results do not depend on the order of rows inside a batch.
+Rows are reduced before the shuffle (:mod:`frameline.streaming.combine`), so a hot key is no large group. Keys are dealt to
+a fixed number of groups, and the keyed operator is called once for a group. State has a fixed size for a key (completion:
+a bit for a frame until the job is complete) and a finite life: event-time timers drop it a stated number of days after
+the last row of its key; rows that come later than the stated delay are left out. Processing-time expiry is not used:
+what is forgotten would depend on when a run happens. Results do not depend on the order of rows inside a batch.
 
 The newer ``transformWithStateInPandas`` was tried for all three operators and brought no gain: both calls cost
-milliseconds a key (README has the figures), so the keyed call stays.
+milliseconds a group (README has the figures), so the keyed call stays.
 """
 
 from __future__ import annotations
@@ -24,35 +25,53 @@ from frameline.streaming.run import use_rocksdb
 
 STAGES = ("extract", "process", "recompose")
 DAY_MS = 86_400_000
+GROUPS = 1 << 11  # groups of keys, each one state
 
 
-Step = Callable[[tuple, pd.DataFrame, "tuple | None"], "tuple[tuple, list]"]
+Step = Callable[[tuple, list[tuple], "tuple | None"], "tuple[tuple, list]"]
 
 
-def _keyed(rows: DataFrame, key: str | tuple[str, ...], step: Step, value: str, output: str, keep_days: float, delay: str) -> DataFrame:
+def _keyed(
+    rows: DataFrame, key: str | tuple[str, ...], fields: Sequence[str], step: Step, value: str, output: str, keep_days: float, delay: str, groups: int = GROUPS,
+) -> DataFrame:
     """Calls ``step(key, rows, value)`` for each key of a batch; it returns the new value and the output rows.
 
-    ``rows`` are reduced and need ``seen``, the time of a row in milliseconds. The value is forgotten ``keep_days`` after
-    the latest, as soon as the watermark, which stays ``delay`` behind, has passed.
+    ``rows`` are reduced and need ``seen``, the time of a row in milliseconds; the step gets their ``fields`` as tuples. The
+    value is forgotten ``keep_days`` after the latest, as soon as the watermark, which stays ``delay`` behind, has passed.
+    A call of Spark's keyed operator costs milliseconds, so keys are dealt to ``groups`` by their hash and a group is one
+    call and one state, holding the values of its keys. ``groups`` must stay the same as long as a checkpoint is used.
     """
     use_rocksdb(rows.sparkSession)
-    keep_ms, columns = int(keep_days * DAY_MS), [c.split()[0] for c in output.split(", ")]
-
-    def run(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+    keys = [key] if isinstance(key, str) else list(key)
+    keep_ms, columns, width = int(keep_days * DAY_MS), [c.split()[0] for c in output.split(", ")], len(keys)
+
+    def run(_: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        watermark, parts, out = state.getCurrentWatermarkMs(), {}, []
+        held = {tuple(h[:width]): tuple(h[width:]) for h in state.get[0]} if state.exists else {}
+        if not state.hasTimedOut:
+            for chunk in chunks:
+                for row in zip(*[chunk[c].tolist() for c in (*keys, *fields, "seen")]):
+                    parts.setdefault(row[:width], []).append(row[width:])
+        held = {k: h for k, h in held.items() if k in parts or h[-1] >= watermark}
+        for one, new in parts.items():
+            *before, last, _ = held.get(one, (0, 0))
+            after, told = step(one, [r[:-1] for r in new], tuple(before) or None)
+            last = max([last, *[int(r[-1]) for r in new if not pd.isna(r[-1])]])
+            held[one] = (*after, last, max(last, watermark) + keep_ms)
+            out += told
+        if held:
+            state.update(([(*k, *h) for k, h in held.items()],))
+            state.setTimeoutTimestamp(max(min(h[-1] for h in held.values()), watermark))
+        elif state.exists:
             state.remove()
-            return
-        got = pd.concat(list(chunks))
-        *held, last = state.get if state.exists else (0,)
-        new, out = step(key, got, tuple(held) or None)
-        last = max(last, int(got["seen"].max()))
-        state.update((*new, last))
-        state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + keep_ms)
         if out:
             yield pd.DataFrame(out, columns=columns)
 
+    kinds = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys)
     timed = rows.withColumn("seen_at", F.timestamp_millis("seen")).withWatermark("seen_at", delay)
-    return timed.groupBy(*([key] if isinstance(key, str) else key)).applyInPandasWithState(run, output, f"{value}, last bigint", "append", "EventTimeTimeout")
+    dealt = timed.withColumn("_group", F.pmod(F.xxhash64(*keys), F.lit(groups)))
+    held = f"held array<struct<{kinds}, {value}, last bigint, until bigint>>"
+    return dealt.groupBy("_group").applyInPandasWithState(run, output, held, "append", "EventTimeTimeout")
 
 
 def _millis(time: str | Column) -> Column:
@@ -65,14 +84,14 @@ def dead_letters(receives: DataFrame, limit: int = 5, retention_days: float = 14
     A message is forgotten ``retention_days`` after its last receive, by event time.
     """
 
-    def count(key: tuple, rows: pd.DataFrame, value: tuple | None) -> tuple[tuple, list]:
+    def count(key: tuple, rows: list[tuple], value: tuple | None) -> tuple[tuple, list]:
         before = value[0] if value else 0
-        after = before + int(rows["n"].sum())
+        after = before + sum(int(n) for n, in rows)
         return (after,), [(key[0],)] if before <= limit < after else []
 
     rows = receives.select("message_id", F.lit(1).cast("bigint").alias("n"), _millis("ts").alias("seen"))
     reduced = combined(rows, ["message_id"], {"n": "sum", "seen": "max"})
-    return _keyed(reduced, "message_id", count, "n bigint", "message_id string", retention_days, delay)
+    return _keyed(reduced, "message_id", ["n"], count, "n bigint", "message_id string", retention_days, delay)
 
 
 def job_states_batch(changes: DataFrame) -> DataFrame:
@@ -109,12 +128,11 @@ def job_state_machine(changes: DataFrame, keep_days: float = 30, delay: str = "1
     """
     slots = [(s, x) for s in STAGES for x in ("COMPLETED", "FAILED")]
 
-    def advance(key: tuple, rows: pd.DataFrame, value: tuple | None) -> tuple[tuple, list]:
+    def advance(key: tuple, rows: list[tuple], value: tuple | None) -> tuple[tuple, list]:
         *held, told, revision = value or (*[None] * len(slots), None, 0)
-        first = rows.groupby(["stage", "status"])["at"].min()
-        for i, slot in enumerate(slots):
-            if slot in first.index:
-                at = float(first[slot])
+        for stage, status, at in rows:
+            if (stage, status) in slots and not pd.isna(at):
+                i = slots.index((stage, status))
                 held[i] = at if held[i] is None else min(held[i], at)
         end, over = "COMPLETED", True
         for i, stage in enumerate(STAGES):
@@ -134,7 +152,7 @@ def job_state_machine(changes: DataFrame, keep_days: float = 30, delay: str = "1
     needed = changes.filter(F.col("status").isin("COMPLETED", "FAILED")).select("job_id", "stage", "status", at.alias("at"), _millis("ts").alias("seen"))
     reduced = combined(needed, ["job_id", "stage", "status"], {"at": "min", "seen": "max"})
     value = ", ".join(f"{s}_{x} double" for s, x in slots) + ", told string, revision bigint"
-    return _keyed(reduced, "job_id", advance, value, "job_id string, state string, revision bigint", keep_days, delay)
+    return _keyed(reduced, "job_id", ["stage", "status", "at"], advance, value, "job_id string, state string, revision bigint", keep_days, delay)
 
 
 def latest_verdicts(verdicts: DataFrame) -> DataFrame:
@@ -166,11 +184,10 @@ def _alarm_changes(rows: DataFrame, period_seconds: int, keep_days: float) -> Da
     series that has been silent for ``keep_days`` is forgotten (the gap has ended its run, an alarm starts anew).
     """
 
-    def follow(key: tuple, new: pd.DataFrame, value: tuple | None) -> tuple[tuple, list]:
+    def follow(key: tuple, new: list[tuple], value: tuple | None) -> tuple[tuple, list]:
         at, length, alarm = value or (None, 0, False)
         out = []
-        new = new.sort_values("at")
-        for now, hit, periods in zip(new["at"].tolist(), new["breach"].tolist(), new["periods"].tolist()):
+        for now, hit, periods in sorted(new, key=lambda r: r[0]):
             unbroken = at is not None and now == at + period_seconds
             length = (length + 1 if unbroken else 1) if hit else 0
             at, before, alarm = now, alarm, length >= periods
@@ -179,7 +196,7 @@ def _alarm_changes(rows: DataFrame, period_seconds: int, keep_days: float) -> Da
         return (at, length, alarm), out
 
     timed = rows.withColumn("at", F.unix_seconds(F.col("period_start").cast("timestamp"))).drop("period_start").withColumn("seen", F.col("at") * 1000)
-    changes = _keyed(timed, ("alarm", "alarm_key"), follow, "at bigint, length bigint, alarm boolean", "alarm string, alarm_key string, at bigint, state string", keep_days, "0 seconds")
+    changes = _keyed(timed, ("alarm", "alarm_key"), ["at", "breach", "periods"], follow, "at bigint, length bigint, alarm boolean", "alarm string, alarm_key string, at bigint, state string", keep_days, "0 seconds")
     return changes.select("alarm", "alarm_key", F.timestamp_seconds("at").alias("period_start"), "state")
 
 
@@ -190,13 +207,13 @@ def progress_stream(frames: DataFrame, jobs: DataFrame, time: str = "ts", keep_d
     such bitmaps, dropped when it is complete. A job is forgotten ``keep_days`` after its last frame, by event time.
     """
 
-    def count(key: tuple, rows: pd.DataFrame, value: tuple | None) -> tuple[tuple, list]:
+    def count(key: tuple, rows: list[tuple], value: tuple | None) -> tuple[tuple, list]:
         frames, done, blocks, bits = value or (0, False, (), ())
-        total = int(rows["total"].max())
+        total = max(int(r[0]) for r in rows)
         if done:
             return (frames, True, [], []), []
         held = {int(b): int.from_bytes(bytes(x), "little") for b, x in zip(blocks, bits)}
-        for block, more in zip(rows["block"].tolist(), rows["bits"].tolist()):
+        for _, block, more in rows:
             old = held.get(block, 0)
             held[block] = new = old | int.from_bytes(bytes(more), "little")
             frames += new.bit_count() - old.bit_count()
@@ -207,4 +224,4 @@ def progress_stream(frames: DataFrame, jobs: DataFrame, time: str = "ts", keep_d
     known = frames.select("job_id", "n", _millis(time).alias("at")).join(jobs.select("job_id", "total"), "job_id")
     reduced = frame_bitmaps(known).withColumnRenamed("at", "seen")
     value = "frames bigint, done boolean, blocks array<bigint>, bits array<binary>"
-    return _keyed(reduced, "job_id", count, value, "job_id string, total bigint", keep_days, delay)
+    return _keyed(reduced, "job_id", ["total", "block", "bits"], count, value, "job_id string, total bigint", keep_days, delay)

@@ -103,6 +103,43 @@ def test_hot_keys_are_reduced_before_the_shuffle(spark):
     assert maps.count() < 300 and sum(int.from_bytes(bytes(r.bits), "big").bit_count() for r in maps.collect()) == 300_000
 
 
+def test_keys_share_a_call(spark):
+    """Many jobs in few groups: each gives its own signal once, and one is forgotten while others of its group stay."""
+    shape = "job_id string, n long, ts timestamp"
+    many = [(f"j{i}", n, day(0)) for i in range(3000) for n in (1, 2)]
+    batches = [many, [("x", 1, day(40)), ("j1", 3, day(40))], [("x", 1, day(41))], [(f"j{i}", 3, day(42)) for i in (0, 1, 2)]]
+    totals = spark.createDataFrame([(f"j{i}", 2 if i > 2 else 3) for i in range(3000)] + [("x", 9)], "job_id string, total long")
+    calls = spark.sparkContext.accumulator(0)
+    rows = steps(spark, scratch_dir(spark, "shared"), *batches, shape=shape).selectExpr("job_id", "n", "unix_millis(ts) AS seen")
+
+    def count(key, new, value):
+        calls.add(1)
+        before = value[0] if value else 0
+        return (before + len(new),), [(key[0], before + len(new))]
+
+    out = S._keyed(rows, "job_id", ["n"], count, "n bigint", "job_id string, n bigint", 10, "1 hour", groups=4)
+    assert "pmod" in out._jdf.queryExecution().analyzed().toString()
+    got = run_to_table(spark, out, "shared")
+    assert got.count() == calls.value == 3000 + 2 + 1 + 3 and got.filter("job_id = 'j1' AND n = 3").count() == 1
+    assert sorted((r.job_id, r.n) for r in got.filter("job_id IN ('j0', 'j1', 'j2', 'x')").collect()) == [("j0", 1), ("j0", 2), ("j1", 2), ("j1", 3), ("j1", 4), ("j2", 1), ("j2", 2), ("x", 1), ("x", 2)]
+    frames = steps(spark, scratch_dir(spark, "frames"), *batches, shape=shape)
+    done = run_to_table(spark, S.progress_stream(frames, totals, keep_days=10), "done")
+    assert sorted(r.job_id for r in done.collect()) == sorted(["j1", *[f"j{i}" for i in range(3, 3000)]])
+
+
+def test_bitmaps_span_record_batches(spark):
+    """A task gives one bitmap for a job and block, also where Arrow batches are small."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "16")
+    try:
+        rows = spark.range(2000, numPartitions=1).selectExpr("'j' || id % 3 AS job_id", "id % 50 AS n", "9L AS total", "id AS at")
+        got = {r.job_id: (int.from_bytes(bytes(r.bits), "little").bit_count(), r["at"]) for r in frame_bitmaps(rows).collect()}
+        assert frame_bitmaps(rows).count() == 3 and got == {"j0": (49, 1998), "j1": (49, 1999), "j2": (49, 1997)}
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_orphans_wait_for_late_jobs(spark):
     """A job that comes after its object, within the horizon, keeps it; the stream gives what the batch gives."""
     shape = "key string, size long, ts timestamp"
