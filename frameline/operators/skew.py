@@ -109,6 +109,7 @@ def _chunked(df: DataFrame, keys: Sequence[str], chunk: Column, hot_rows: int) -
         rows = df.withColumn("_chunk", chunk)
         return rows, rows
     hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_many")).filter(F.col("_many") > hot_rows)
+    hot = F.broadcast(hot)  # one row for each hot_rows rows at most; a shuffle by the group would put it into one task
     rows = _null_safe(df, hot, keys, "left").withColumn("_chunk", F.when(F.col("_many").isNotNull(), chunk))
     return rows.drop("_many"), rows.filter(F.col("_many").isNotNull()).drop("_many")
 

@@ -78,6 +78,18 @@ def test_rank_and_neighbours(spark, rows, hot_rows):
             assert linked[(k, n)] == (numbers[i - 1] if i else None, numbers[i + 1] if i + 1 < len(numbers) else None)
 
 
+def test_large_groups_are_not_shuffled_whole(spark, request):
+    """The table of large groups is broadcast, so no task gets all rows of a group to learn that it is large."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    df = spark.range(1000).withColumn("n", F.col("id") * 3 % 1000).withColumn("k", F.lit("hot"))
+    ranked = ranked_in_group(df, ["k"], ["n"], int_div(F.col("n"), 100), hot_rows=100)
+    shuffles = [line for line in ranked._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning" in line]
+    assert {r.n: r["rank"] for r in ranked.collect()} == {n: n + 1 for n in range(1000)}
+    assert any("BroadcastHashJoin" in line for line in ranked._jdf.queryExecution().executedPlan().toString().splitlines()) and shuffles
+
+
 def test_rank_without_group(spark):
     df = spark.range(1000).withColumn("n", F.col("id") * 3 % 1000)
     got = {r.n: r["rank"] for r in ranked_in_group(df, [], ["n"], int_div(F.col("n"), 100)).collect()}
