@@ -34,15 +34,20 @@ def _whole(on: Sequence[str]) -> Column:
     return F.col(on[0]) if len(on) == 1 else F.concat_ws("\x1f", *[F.col(k).cast("string") for k in on])
 
 
+def _hashable(df: DataFrame) -> list[str]:
+    return [f"`{f.name}`" for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+
+
 def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
     """``_key``: the keys that hold more than ``share`` of the rows, at most ``HOT_KEYS`` of them.
 
     One pass with a frequent-items sketch of fixed size, merged from the tasks: a key with that many rows cannot be
     missed (its error is below the share as long as the sketch has more counters than 1 / share), and no key is shuffled.
+    The pass reads all columns, as the join does, so a shuffle below both is made once and used again.
     """
-    held = df.select(_whole(on).alias("k")).filter(F.col("k").isNotNull())
-    found = held.agg(F.expr(f"approx_top_k(k, {HOT_KEYS}, {TRACKED})").alias("top"), F.count(F.lit(1)).alias("rows"))
-    each = found.select("rows", F.explode("top").alias("t")).filter(F.col("t.count") > F.col("rows") * share)
+    held = df.select(_whole(on).alias("k"), F.xxhash64(*_hashable(df)).alias("_row"))
+    found = held.agg(F.expr(f"approx_top_k(k, {HOT_KEYS}, {TRACKED})").alias("top"), F.count("k").alias("rows"), F.max("_row").alias("_row"))
+    each = found.filter(F.col("_row").isNotNull()).select("rows", F.explode("top").alias("t")).filter(F.col("t.count") > F.col("rows") * share)
     return each.select(F.col("t.item").alias("_key"))
 
 
@@ -61,11 +66,16 @@ def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str =
     if len(on) > 1 and [dict(big.dtypes)[k] for k in on] != [dict(small.dtypes)[k] for k in on]:
         raise ValueError("the columns of a compound key differ in type")
     hot = F.broadcast(hot_keys(big, on).withColumn("_hot", F.lit(True)))  # at most HOT_KEYS rows
-    hashable = [f.name for f in big.schema.fields if "map<" not in f.dataType.simpleString()]
-    spread = F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int")
+    spread = F.pmod(F.xxhash64(*_hashable(big)), F.lit(salts)).cast("int")
     left = big.withColumn("_key", _whole(on)).join(hot, "_key", "left").withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(0)).drop("_hot", "_key")
     copies = F.sequence(F.lit(0), F.when(F.col("_hot"), salts - 1).otherwise(0))
     right = small.withColumn("_key", _whole(on)).join(hot, "_key", "left").withColumn("_salt", F.explode(copies)).drop("_hot", "_key")
+    if how in ("left_semi", "left_anti") and [dict(big.dtypes)[k] for k in on] == [dict(small.dtypes)[k] for k in on]:
+        # one key that is never null: no filter of nulls is put below a semi join, so it shares its shuffle with an anti join
+        placed = right.dropna(subset=list(on)).select(F.struct(*on, "_salt").alias("_place"))
+        rest = [F.col(f"`{c}`") for c in big.columns if c not in on]
+        found = left.select(F.struct(*on, "_salt").alias("_place"), *rest).join(placed, "_place", how)
+        return found.select(*[F.col("_place")[k].alias(k) for k in on], *rest)
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 

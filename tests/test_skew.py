@@ -83,11 +83,31 @@ def test_large_groups_are_not_shuffled_whole(spark, request):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     request.addfinalizer(lambda: spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    df = spark.range(1000).withColumn("n", F.col("id") * 3 % 1000).withColumn("k", F.lit("hot"))
+    df = spark.range(1000).selectExpr("id * 3 % 1000 AS n", "IF(id < 0, 'cold', 'hot') AS k")
     ranked = ranked_in_group(df, ["k"], ["n"], int_div(F.col("n"), 100), hot_rows=100)
-    shuffles = [line for line in ranked._jdf.queryExecution().executedPlan().toString().splitlines() if "hashpartitioning" in line]
+    plan = ranked._jdf.queryExecution().executedPlan().toString().splitlines()
     assert {r.n: r["rank"] for r in ranked.collect()} == {n: n + 1 for n in range(1000)}
-    assert any("BroadcastHashJoin" in line for line in ranked._jdf.queryExecution().executedPlan().toString().splitlines()) and shuffles
+    assert any("BroadcastHashJoin [coalesce(k#" in line for line in plan)
+    assert not any("Exchange hashpartitioning(coalesce(k#" in line and "_chunk" not in line for line in plan)
+
+
+def test_semi_and_anti_join_share_their_shuffles(spark, request):
+    """The sketch, the semi join and the anti join of one aggregated table shuffle it once; null keys match nothing."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    big = spark.range(4000).selectExpr("CASE WHEN id % 7 > 0 THEN id % 100 END AS k", "id % 5000 AS n").groupBy("n").agg(F.max("k").alias("k"), F.max("n").alias("m"))
+    known = spark.createDataFrame([(i,) for i in (*range(30), None)], "k long")
+    both = salted_join(big, known.filter("k < 10 OR k IS NULL"), ["k"], "left_semi").unionByName(salted_join(big, known, ["k"], "left_anti"))
+    got = both.collect()
+    assert len(got) == len({r.n for r in got}) and {r.k for r in got} == {None, *range(10), *range(30, 100)} and both.columns == ["k", "n", "m"]
+    assert sum(r.k is None for r in got) == sum(n % 7 == 0 for n in range(4000)) and all(r.m == r.n for r in got)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.adaptive.enabled", "true"))
+    again = salted_join(big, known.filter("k < 10 OR k IS NULL"), ["k"], "left_semi").unionByName(salted_join(big, known, ["k"], "left_anti"))
+    plan = again._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert sum("- Exchange hashpartitioning(n#" in line for line in plan) == 1
+    assert any("ReusedExchange" in line and "Exchange hashpartitioning(_place#" in line for line in plan)
 
 
 def test_rank_without_group(spark):
