@@ -6,14 +6,19 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql import functions as F
 
-FLUSH_BYTES = 32 << 20
+FLUSH_BYTES = 4 << 20
 Kernel = Callable[[np.ndarray, dict], Iterable[tuple[tuple, np.ndarray]]]
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of a few megabytes for this session: a Python worker holds several copies of its batch at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(FLUSH_BYTES))
+
+
 def _cells(column: pa.Array) -> Sequence:
     """Python values; list columns as NumPy slices of the batch buffer."""
     if not pa.types.is_list(column.type) and not pa.types.is_large_list(column.type):
@@ -62,6 +67,7 @@ def expand_images(
     """
     from pyspark.sql.pandas.types import to_arrow_type
 
+    small_batches(images.sparkSession)
     element = images.schema["data"].dataType.elementType
     fields = [images.schema[k] for k in keep] + [T.StructField(n, t) for n, t in extras]
     fields += [T.StructField(n, T.IntegerType()) for n in ("h", "w", "c")] + [T.StructField("data", T.ArrayType(element))]

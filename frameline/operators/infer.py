@@ -9,13 +9,14 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from frameline import schemas
 from frameline.functions import sizing
-from frameline.operators.image_rows import FLUSH_BYTES, _cells, _Rows
+from frameline.operators.image_rows import FLUSH_BYTES, _cells, _Rows, small_batches
 
 # Model variants with the scale of their output; the default takes the place of unknown ones.
 VARIANT_SCALE = {"real_sr": 4, "classical_sr": 4, "lightweight_sr": 4, "color_dn": 1, "jpeg_car": 1}
@@ -169,34 +170,41 @@ def ordered_results(results: DataFrame) -> DataFrame:
     return results.orderBy("job_id", F.col("batch_id").try_cast("long").asc_nulls_last(), "batch_id")
 
 
-def _map_content(df: DataFrame, keep: Sequence[str], change: Callable[[bytes], bytes]) -> DataFrame:
+def _map_content(df: DataFrame, keep: Sequence[str], change: Callable[[str | None, bytes], bytes]) -> DataFrame:
+    """``change(key, content)`` of each row, given out in batches of bounded bytes."""
     schema = T.StructType([*[df.schema[k] for k in keep], T.StructField("key", T.StringType()), T.StructField("content", T.BinaryType()),
                            T.StructField("size", T.LongType()), T.StructField("new_size", T.LongType())])
+    small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = [batch.column(batch.schema.get_field_index(k)) for k in (*keep, "key")]
-            before = batch.column(batch.schema.get_field_index("content")).to_pylist()
-            after = [None if b is None else change(b) for b in before]
-            columns = [*kept, pa.array(after, pa.binary()), *[pa.array([None if b is None else len(b) for b in side], pa.int64()) for side in (before, after)]]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "key", "content", "size", "new_size"])
+            contents, start, after, held = batch.column(batch.schema.get_field_index("content")), 0, [], 0
+            sizes = pc.binary_length(contents).cast(pa.int64())
+            for i, key in enumerate(kept[-1]):
+                content = contents[i].as_py()
+                after.append(None if content is None else change(key.as_py(), content))
+                held += len(after[-1] or b"")
+                if held >= FLUSH_BYTES or i + 1 == batch.num_rows:
+                    n = len(after)
+                    news = pa.array([None if b is None else len(b) for b in after], pa.int64())
+                    columns = [*[c.slice(start, n) for c in kept], pa.array(after, pa.binary()), sizes.slice(start, n), news]
+                    yield pa.RecordBatch.from_arrays(columns, names=[*keep, "key", "content", "size", "new_size"])
+                    start, after, held = i + 1, [], 0
 
     return df.select(*keep, "key", "content").mapInArrow(run, schema)
 
 
 def gzip_content(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Compressed twin ``key.gz`` of each content with both sizes; the same input always gives the same bytes."""
-    packed = _map_content(df, keep, lambda b: gzip.compress(b, mtime=0))
+    packed = _map_content(df, keep, lambda _, b: gzip.compress(b, mtime=0))
     return packed.withColumn("key", F.concat("key", F.lit(".gz")))
 
 
 def gunzip_content(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Plain content of ``.gz`` keys, other keys unchanged."""
-    packed = df.filter(F.col("key").endswith(".gz"))
-    plain = _map_content(packed, keep, gzip.decompress).withColumn("key", F.regexp_replace("key", r"\.gz$", ""))
-    size = F.octet_length("content").cast("long")
-    rest = df.filter(~F.col("key").endswith(".gz")).select(*keep, "key", "content", size.alias("size"), size.alias("new_size"))
-    return plain.unionByName(rest)
+    """Plain content of ``.gz`` keys, other keys unchanged, in one pass; rows without a key are left out."""
+    plain = _map_content(df.filter(F.col("key").isNotNull()), keep, lambda key, b: gzip.decompress(b) if key.endswith(".gz") else b)
+    return plain.withColumn("key", F.regexp_replace("key", r"\.gz$", ""))
 
 
 def checksum(column: Column) -> Column:

@@ -285,3 +285,26 @@ def test_attempts_are_cut_before_the_shuffle(spark):
     tries = spark.createDataFrame([(1, 1, False)], "frame_id int, seq int, ok boolean")
     plan = frames.retry_outcome(tries, ["seq"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_content_passes_in_small_batches(spark):
+    """40 MB of contents reach the next worker in batches of a few megabytes, and unpacking is one pass."""
+    from frameline.operators.image_rows import FLUSH_BYTES
+    from frameline.operators.infer import gunzip_content, gzip_content
+
+    rows = spark.range(400, numPartitions=1).selectExpr("'k' || id AS key", "encode(repeat(cast(100 + id AS string), 34000), 'UTF-8') AS content")
+    rows = rows.unionByName(spark.createDataFrame([("none", None), (None, b"x")], rows.schema).coalesce(1))
+    back = gunzip_content(gzip_content(rows).unionByName(gzip_content(rows.limit(3)).selectExpr("'plain' AS key", "content", "size", "new_size")))
+
+    def sizes(batches):
+        for batch in batches:
+            yield type(batch).from_arrays([[batch.nbytes], [batch.num_rows]], ["bytes", "rows"])
+
+    seen = back.select("content").mapInArrow(sizes, "bytes long, rows long").collect()
+    assert max(r.bytes for r in seen) <= FLUSH_BYTES + 200_000 and sum(r.rows for r in seen) == 404
+    got = {r.key: r for r in back.filter("key <> 'plain'").selectExpr("key", "sha2(content, 256) AS digest", "new_size").collect()}
+    want = {r.key: r for r in rows.filter("key IS NOT NULL").selectExpr("key", "sha2(content, 256) AS digest", "octet_length(content) AS new_size").collect()}
+    assert got.keys() == want.keys() and all(got[k].digest == want[k].digest and got[k].new_size == want[k].new_size for k in want)
+    assert back.filter("key = 'plain' AND hex(substr(content, 1, 2)) = '1F8B'").count() == 3
+    plan = gunzip_content(rows)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
