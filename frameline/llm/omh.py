@@ -4,11 +4,16 @@
 the ``PICKED`` k-mers with the smallest hashes are taken *in text order*; a sketch is the hash of that sequence, so it
 agrees only if the k-mers are shared and stand in the same order, which follows edit similarity more closely than sets.
 
-**Candidates.** Equal texts are one node from the start. Nodes that share a sketch form a bucket. In a bucket of at most
-``SMALL`` nodes all pairs are candidates. In a larger one every node is first compared with the smallest node (so a
-group of thousands of near copies costs one comparison each, not the square). Large buckets that then still hold several
-classes are looked at twice more: their nodes are compared with ``HUBS`` other members of another class, and at last all
-pairs across classes that share two more sketches in a row are compared. No bucket and no number of partners is capped.
+**Candidates.** Equal texts are one node from the start. Nodes that share a sketch form a bucket, and all pairs of a bucket
+are candidates. As only classes are asked for, a pair inside one class needs no comparison. So every node is first compared
+with one other, then with a second: the hub (the node that shares most sketches) of its largest, then of its smallest bucket
+that still holds several classes (a group of thousands of near copies costs one comparison each, not the square). Then the
+rest is settled exactly: in buckets of at most ``SMALL`` nodes by all pairs across classes, in larger ones by those pairs
+across classes that pass a prefix filter. The filter loses no link: texts with a distance of at most a fifth have four
+fifths of the longer one's words in common, so if the words of each (with their occurrence numbers) are ordered by how many
+of the texts left hold them, the first fifth and one more of both lists have a word in common, and behind it enough words
+are left. A passage that many texts share stands at the end of these lists and makes no pairs. Nothing is capped; texts
+that hold nearly the same words and are still in many classes keep the square of their number.
 
 **Verification.** Two texts are linked if their word edit distance is at most a fifth of the longer one's words
 (similarity of 0.8 or more). The distance is computed on a diagonal band, bit-parallel, with a band that is widened until
@@ -37,8 +42,6 @@ KMER = 5
 SKETCHES = 24
 PICKED = 2
 SMALL = 8
-HUBS = 4
-IN_A_ROW = 3
 FIRST_BAND = 16
 SEED = 8128
 
@@ -55,9 +58,9 @@ class OrderSketcher:
         self.picked = picked
         self._words = Fingerprinter(1)
 
-    def kmers(self, text: str) -> np.ndarray:
+    def kmers(self, text: str, k: int = KMER) -> np.ndarray:
         """Hashes of the occurrence-labelled k-mers, in text order."""
-        plain = Fingerprinter.shingles(self._words.word_hashes(text.split()), KMER)
+        plain = Fingerprinter.shingles(self._words.word_hashes(text.split()), k)
         order = np.argsort(plain, kind="stable")
         ranked = plain[order]
         starts = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
@@ -164,45 +167,67 @@ def _ordered(pairs: DataFrame) -> DataFrame:
 
 
 def buckets(one: DataFrame) -> DataFrame:
-    """``key``, ``at``, ``node``, ``n``, ``hub`` of every bucket of two or more nodes."""
-    members = one.select("node", F.posexplode("sketches").alias("at", "key"))
-    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("hub")).filter("n > 1")
+    """``key``, ``node``, ``n`` of every bucket of two or more nodes (the keys of different sketches are salted)."""
+    members = one.select("node", F.explode("sketches").alias("key"))
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     return members.join(sizes, "key")
 
 
-def first_pairs(seated: DataFrame, small: int = SMALL) -> DataFrame:
-    """All pairs of small buckets, pairs with the smallest node of large ones."""
-    few = seated.filter(F.col("n") <= small).select("key", F.col("node").alias("x"))
-    pairs = few.join(few.withColumnRenamed("x", "y"), "key").filter("x < y").select("x", "y")
-    stars = seated.filter((F.col("n") > small) & (F.col("node") != F.col("hub"))).select(F.col("hub").alias("x"), F.col("node").alias("y"))
-    return _ordered(pairs.unionByName(stars))
+def _mixed(seated: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``key``, ``node``, ``n``, ``label`` of the buckets that hold several classes."""
+    if labels is None:
+        return seated.withColumn("label", F.col("node"))
+    named = seated.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    spread = named.groupBy("key").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).filter("_low != _high").select("key")
+    return keep(named.join(spread, "key", "left_semi"), "mixed")
 
 
-def _mixed(large: DataFrame, labels: DataFrame) -> DataFrame:
-    """``key``, ``at``, ``node``, ``label`` of the large buckets that hold several classes."""
-    named = large.select("key", "at", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = named.groupBy("key").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).filter("_low != _high").select("key")
-    return keep(named.join(mixed, "key", "left_semi"), "mixed")
+def hub_pairs(mixed: DataFrame, largest: bool) -> DataFrame:
+    """Every node with the hub of its largest or smallest bucket whose hub is of another class."""
+    ranks = mixed.groupBy("node").agg(F.sum("n").alias("_rank"))
+    hubs = mixed.join(ranks, "node").groupBy("key").agg(F.max_by(F.struct("node", "label"), F.struct("_rank", "node")).alias("_hub"))
+    met = mixed.join(hubs, "key").filter("_hub.label != label")
+    chosen = met.groupBy("node").agg(F.max_by("_hub.node", F.struct(F.col("n") if largest else -F.col("n"), "key")).alias("y"))
+    return _ordered(chosen.select(F.col("node").alias("x"), "y"))
 
 
-def hub_pairs(mixed: DataFrame, hubs: int = HUBS) -> DataFrame:
-    """Every node with each of ``hubs`` members of its bucket (by as many hashes) that are of another class."""
-    chosen = [F.min_by(F.struct("node", "label"), F.xxhash64("node", F.lit(i))).alias(f"_{i}") for i in range(hubs)]
-    picked = mixed.groupBy("key").agg(*chosen).select("key", F.array(*[f"_{i}" for i in range(hubs)]).alias("_hubs"))
-    other = F.filter("_hubs", lambda h: h["label"] != F.col("label"))
-    both = mixed.join(picked, "key").select("node", F.explode(F.transform(other, lambda h: h["node"])).alias("y"))
-    return _ordered(both.select(F.col("node").alias("x"), "y"))
+def small_pairs(mixed: DataFrame, small: int = SMALL) -> DataFrame:
+    """All pairs across the classes of the buckets of at most ``small`` nodes."""
+    few = mixed.filter(F.col("n") <= small)
+    left = few.select("key", F.col("node").alias("x"), F.col("label").alias("_l"))
+    right = few.select("key", F.col("node").alias("y"), F.col("label").alias("_r"))
+    return _ordered(left.join(right, "key").filter("x < y and _l != _r").select("x", "y"))
 
 
-def row_pairs(mixed: DataFrame, one: DataFrame, in_a_row: int = IN_A_ROW) -> DataFrame:
-    """All pairs across the classes of a bucket that share ``in_a_row`` neighbouring sketches."""
-    following = [F.element_at("sketches", ((F.col("at") + i) % SKETCHES + 1).cast("int")) for i in range(1, in_a_row)]
-    dealt = mixed.join(one, "node").select(F.xxhash64("key", *following).alias("key"), "node", "label")
-    spread = dealt.groupBy("key").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).filter("_low != _high").select("key")
-    left = keep(dealt.join(spread, "key", "left_semi"), "mixed")
-    other = left.select("key", F.col("node").alias("y"), F.col("label").alias("_r"))
-    pairs = left.select("key", F.col("node").alias("x"), F.col("label").alias("_l")).join(other, "key").filter("x < y and _l != _r")
-    return _ordered(pairs.select("x", "y"))
+def word_lists(kept_texts: DataFrame) -> DataFrame:
+    """``node`` and ``words``: a hash of each word with its occurrence number (equal hashes only add candidates)."""
+
+    def run(batches):
+        maker = OrderSketcher()
+        for batch in batches:
+            yield pd.DataFrame({"node": batch["node"], "words": [maker.kmers(t, 1).view(np.int64) if t.strip() else [] for t in batch["text"]]})
+
+    return kept_texts.select("node", "text").mapInPandas(run, "node long, words array<long>")
+
+
+def prefix_pairs(mixed: DataFrame, kept_texts: DataFrame, small: int = SMALL) -> DataFrame:
+    """All pairs across the classes of larger buckets that the prefix filter cannot rule out."""
+    many = mixed.filter(F.col("n") > small).groupBy("node", "label").agg(F.collect_set("key").alias("keys"))
+    lists = keep(word_lists(kept_texts.join(many.select("node"), "node", "left_semi")), "words")
+    dealt = lists.select("node", F.explode("words").alias("word"))
+    common = dealt.groupBy("word").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
+    # a word that no other text holds makes no pair, but comes first in the list
+    shared = dealt.join(common, "word").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("held", "word"))).alias("_list"))
+    sized = shared.join(lists.select("node", F.size("words").alias("len")), "node").withColumn("own", F.col("len") - F.size("_list"))
+    first = sized.withColumn("_list", F.slice("_list.word", F.lit(1), F.greatest(F.lit(0), F.floor(F.col("len") / 5).cast("int") + 1 - F.col("own"))))
+    flat = first.join(many, "node").select("node", "label", "keys", "len", "own", F.col("_list").alias("list"), F.posexplode("_list").alias("at", "word"))
+    flat = keep(flat.withColumn("left", F.col("len") - F.col("own") - F.col("at")).drop("own", "at"), "prefixes")
+    left, right = (flat.select("word", *[F.col(c).alias(f"{c}{i}") for c in ("node", "label", "keys", "len", "list", "left")]) for i in (1, 2))
+    longer = F.greatest("len1", "len2")
+    fits = F.least("left1", "left2") >= longer - F.floor(longer / 5)
+    once = F.array_intersect("list1", "list2")[0] == F.col("word")  # a pair is made by its first common word
+    met = left.join(right, "word").filter(F.expr("node1 < node2 and label1 != label2") & fits & F.arrays_overlap("keys1", "keys2") & once)
+    return _ordered(met.select(F.col("node1").alias("x"), F.col("node2").alias("y")))
 
 
 def verified(pairs: DataFrame, kept_texts: DataFrame) -> DataFrame:
@@ -242,10 +267,10 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("b").alias("node"), F.col("a").alias("label")).unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct())
 
 
-def _chosen_texts(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """One text for each node of ``pairs``; copies are reduced before the shuffle."""
-    asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    return keep(rows.groupBy("node").agg(F.first("text").alias("text")).join(asked, "node", "left_semi"), "texts")
+def _chosen_texts(rows: DataFrame, seated: DataFrame) -> DataFrame:
+    """One text for each node of a bucket; texts of no bucket go first, copies are reduced before the shuffle."""
+    asked = keep(seated.select("node").distinct(), "asked")
+    return keep(rows.select("node", "text").join(asked, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "texts")
 
 
 def near_classes(docs: DataFrame, small: int = SMALL) -> DataFrame:
@@ -253,22 +278,22 @@ def near_classes(docs: DataFrame, small: int = SMALL) -> DataFrame:
     rows = nodes(docs)
     one = keep(sketches(rows), "nodes")
     seated = keep(buckets(one), "buckets")
-    pairs = keep(first_pairs(seated, small), "pairs")
-    known = _chosen_texts(rows, pairs)  # holds every node of a large bucket, as each is compared with its hub
-    edges = keep(verified(pairs, known), "links")
-    labels = components(edges)
-    large = seated.filter(F.col("n") > small)
-    for more in (hub_pairs, lambda mixed: row_pairs(mixed, one)):
-        mixed = _mixed(large, labels)
+    known = _chosen_texts(rows, seated)
+    rest = lambda mixed: small_pairs(mixed, small).unionByName(prefix_pairs(mixed, known, small)).distinct()
+    done, edges, labels = None, None, None
+    for pairs_of in (lambda mixed: hub_pairs(mixed, True), lambda mixed: hub_pairs(mixed, False), rest):
+        mixed = _mixed(seated, labels)
         if mixed.isEmpty():
             break
-        extra = keep(more(mixed).join(pairs, ["a", "b"], "left_anti"), "pairs")
-        added = keep(verified(extra, known), "links")
-        pairs = pairs.unionByName(extra)
-        if not added.isEmpty():
-            edges = edges.unionByName(added)
-            labels = components(edges)
-    named = keep(rows.select("doc_id", "node").join(labels, "node", "left").select("doc_id", "node", F.coalesce("label", "node").alias("label")), "members")
+        pairs = pairs_of(mixed)
+        pairs = keep(pairs if done is None else pairs.join(done, ["a", "b"], "left_anti"), "pairs")
+        done = pairs if done is None else done.unionByName(pairs)
+        added = keep(verified(pairs, known), "links")
+        edges = added if edges is None else edges.unionByName(added)
+        labels = components(edges)
+    named = rows.select("doc_id", "node")
+    named = named.withColumn("label", F.col("node")) if labels is None else named.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    named = keep(named, "members")
     sizes = named.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
     return named.join(sizes, "label").select("doc_id", "node", "class_id", "class_size")
 

@@ -83,6 +83,50 @@ def test_classes_equal_brute_force(spark):
     assert got[1000] == got[1001] == got[3] and got[1002] == got[1003] == 1002 and got[None] is None and got[1004] == 1004
 
 
+def test_links_of_large_buckets_are_all_found(spark):
+    """Texts with one passage, among them groups that are alike: any way through the buckets gives the classes of all their pairs."""
+    r = random.Random(3)
+    passage = words(r, 70)
+    rows = []
+    for g in range(60):
+        base = words(r, 20) + passage + words(r, 20)
+        rows += [base] + [edit(r, base, 10) for _ in range(g % 4)]
+    table = docs(spark, *[(i, " ".join(t)) for i, t in enumerate(rows)])
+    seats = omh.buckets(omh.sketches(omh.nodes(table))).select("key", "node").collect()
+    node = {x.doc_id: x.node for x in omh.nodes(table).collect()}
+    at = {n: i for i, n in node.items()}
+    by_key = {}
+    for x in seats:
+        by_key.setdefault(x.key, []).append(at[x.node])
+    assert max(map(len, by_key.values())) > 60
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, j in {(i, j) for held in by_key.values() for i in held for j in held if i < j}:
+        if omh.alike(" ".join(rows[i]), " ".join(rows[j])):
+            a, b = root(i), root(j)
+            parent[max(a, b)] = min(a, b)
+    want = {i: root(i) for i in range(len(rows))}
+    for small in (0, omh.SMALL):
+        assert {x.doc_id: x.class_id for x in omh.near_classes(table, small).collect()} == want
+
+
+def test_pairs_of_a_shared_passage_do_not_grow_with_the_square(spark):
+    made = {}
+    for n in (50, 100, 200):
+        r = random.Random(n)
+        passage = words(r, 300)
+        rows = [words(r, 90, 10**6) + passage + words(r, 90, 10**6) for _ in range(n)]
+        texts = omh.nodes(docs(spark, *[(i, " ".join(t)) for i, t in enumerate(rows)]))
+        seated = omh.buckets(omh.sketches(texts)).withColumn("label", F.col("node"))
+        made[n] = omh.hub_pairs(seated, True).count(), omh.prefix_pairs(seated, texts).count()
+    assert all(stars <= n and rest <= n for n, (stars, rest) in made.items())
+
+
 def test_one_row_of_each_class_stays(spark):
     base = " ".join(f"w{i}" for i in range(50))
     table = docs(spark, (5, base), (3, base + " x"), (3, base + " x"), (9, None), (8, ""), (None, "q r s"), (None, "q r s"), (2, "b"))
