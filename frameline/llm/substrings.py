@@ -9,7 +9,9 @@ of block length of every document probes them; hits are extended to exact repeat
    a passage that a third of all documents share is many small packed entries and no hot row. A bucket streams its rows
    in the order blocks, windows, blocks: after the blocks it knows the smallest document of each block hash, after
    the windows the largest document that probed it; memory holds the distinct block hashes of one bucket. The answer is
-   one bit per hash: a window meets a block of a smaller document, a block is met by a larger document.
+   the list of hits: a window meets a block of a smaller document, a block is met by a larger document. Documents are
+   dealt into parts of ``PER_PART`` characters; the answers of all buckets to all documents of a part travel packed and
+   are put together to one row for each document with hits, however many buckets there are.
 2. *Extend.* Documents with hits compute the hashes of the whole windows around them: around a block that was met (as
    reference) and around a window that met one (as candidate). They meet in buckets in the same way; a candidate whose
    whole window starts in a smaller document is a repeat. Overlapping repeats join to maximal exact repeats.
@@ -33,25 +35,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from frameline.llm.common import ascii_words, pieces_of
-from frameline.llm.minhash import Fingerprinter
 
 WINDOW = 13
 PER_BUCKET = 8_000_000
+PER_PART = 2_000_000
 PACK_AT = 500_000  # hashes after which a batch is packed, for bounded memory
+ANSWERS_AT = 1_000_000  # the same for hits
 NARROW, WIDE = 4, 6  # bytes of a hash in the two steps
 NO_ID = 2**63 - 1
 
 _MIX = np.uint64(0xD6E8FEB86659FD93)
+_JOIN = np.uint64(0xFF51AFD7ED558CCD)
 _LOW = np.uint64(32)
 PACKED = "bucket int, kind int, ids binary, counts binary, hashes binary"
-ANSWER = "place long, mark long, bucket int, kind int, bits binary"
+PACKED_ANSWERS = "part int, ids binary, codes binary, counts binary, spots binary"
+ANSWERS = "place long, mark long, answers binary"
+
+
+def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (a ^ (a >> _LOW)) * _JOIN + b
 
 
 def _rolling(hashes: np.ndarray, size: int) -> np.ndarray:
-    """One well-mixed 64-bit hash for each run of exactly ``size`` words."""
+    """One well-mixed 64-bit hash for each run of exactly ``size`` words, joined from runs of 1, 2, 4, ... words."""
     if len(hashes) < size:
         return np.empty(0, np.uint64)
-    out = Fingerprinter.shingles(hashes, size) * _MIX
+    count, out, done, runs, width = len(hashes) - size + 1, None, 0, hashes, 1
+    while True:
+        if size & width:
+            part = runs[done : done + count]
+            out = part if out is None else _joined(out, part)
+            done += width
+        if 2 * width > size:
+            break
+        runs, width = _joined(runs[:-width], runs[width:]), 2 * width
+    out = (out ^ (out >> _LOW)) * _MIX
     return out ^ (out >> np.uint64(29))
 
 
@@ -147,22 +165,88 @@ def _unpacked(batch: pd.DataFrame, width: int):
         yield bucket, kind, places, marks, counts, _wide(hashes, width)
 
 
-def _bits(places, marks, counts, bucket, kind, yes, out) -> None:
-    """One answer for each document with at least one hit."""
-    ends = np.cumsum(counts)
-    starts = ends - counts
-    any_hit = np.add.reduceat(yes, starts) > 0 if len(starts) else []
-    for i in np.flatnonzero(any_hit).tolist():
-        out.append((int(places[i]), int(marks[i]), bucket, kind, np.packbits(yes[starts[i] : ends[i]]).tobytes()))
+def _runs(counts: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Indexes of the members of runs of ``counts`` members, run by run in the given order."""
+    starts, taken = np.cumsum(counts) - counts, counts[order]
+    return np.repeat(starts[order] - (np.cumsum(taken) - taken), taken) + np.arange(taken.sum())
+
+
+def _part(places: np.ndarray, marks: np.ndarray, parts: int) -> np.ndarray:
+    mixed = (places.view(np.uint64) * _MIX) ^ marks.view(np.uint64)
+    return ((mixed * _MIX >> _LOW) % np.uint64(parts)).astype(np.int64)
+
+
+class _Hits:
+    """Runs of hits: the document, a code (bucket and kind) and, in ``spots``, which of its hashes there were hit."""
+
+    def __init__(self):
+        self._start()
+
+    def _start(self) -> None:
+        self.held = 0
+        self.runs: list[tuple[np.ndarray, ...]] = []
+
+    def add(self, places, marks, codes, counts, spots) -> None:
+        self.held += len(spots)
+        self.runs.append((places, marks, codes, counts, spots))
+
+    def add_bits(self, places, marks, counts, bucket, kind, yes) -> None:
+        hits, ends = np.flatnonzero(yes), np.cumsum(counts)
+        owner = np.searchsorted(ends, hits, side="right")
+        spots = (hits - (ends - counts)[owner]).astype(np.uint32)
+        who, each = np.unique(owner, return_counts=True)
+        self.add(places[who], marks[who], np.full(len(who), 2 * bucket + kind - 1, np.uint32), each.astype(np.uint32), spots)
+
+    def _taken(self):
+        places, marks, codes, counts, spots = (np.concatenate(x) for x in zip(*self.runs))
+        self._start()
+        return places, marks, codes, counts.astype(np.int64), spots
 
+    def by_part(self, parts: int) -> pd.DataFrame:
+        out = []
+        if self.runs:
+            places, marks, codes, counts, spots = self._taken()
+            part = _part(places, marks, parts)
+            order = np.argsort(part, kind="stable")
+            found, edges = np.unique(part[order], return_index=True)
+            for p, mine in zip(found.tolist(), np.split(order, edges[1:])):
+                ids = np.concatenate([places[mine], marks[mine]])
+                out.append((p, ids.tobytes(), codes[mine].tobytes(), counts[mine].astype(np.uint32).tobytes(), spots[_runs(counts, mine)].tobytes()))
+        return pd.DataFrame(out, columns=["part", "ids", "codes", "counts", "spots"])
 
-def _meet(width: int):
+    def settle(self) -> None:
+        """Runs by document and code; repeated rows have the same answers, of which one is kept."""
+        if not self.runs:
+            return
+        places, marks, codes, counts, spots = self._taken()
+        order = np.lexsort((codes, marks, places))
+        same = np.ones(len(order), bool)
+        same[0] = False
+        for x in (places, marks, codes):
+            same[1:] &= x[order][1:] == x[order][:-1]
+        order = order[~same]
+        self.add(places[order], marks[order], codes[order], counts[order].astype(np.uint32), spots[_runs(counts, order)])
+
+    def by_document(self) -> pd.DataFrame:
+        out = []
+        self.settle()
+        if self.runs:
+            places, marks, codes, counts, spots = self._taken()
+            first = np.flatnonzero(np.append(True, (places[1:] != places[:-1]) | (marks[1:] != marks[:-1])))
+            last = np.append(first[1:], len(places))
+            ends = np.append(0, np.cumsum(counts))
+            for i, j in zip(first.tolist(), last.tolist()):
+                cells = np.concatenate([[j - i], codes[i:j], counts[i:j], spots[ends[i] : ends[j]]])
+                out.append((int(places[i]), int(marks[i]), cells.astype(np.uint32).tobytes()))
+        return pd.DataFrame(out, columns=["place", "mark", "answers"])
+
+
+def _meet(width: int, parts: int):
     """Reducer of both meetings: kind 0 references, kind 1 probes, kind 2 references again (if they want an answer)."""
 
     def run(batches):
-        at, known, largest = None, None, None
+        at, known, largest, hits = None, None, None, _Hits()
         for batch in batches:
-            out = []
             for bucket, kind, places, marks, counts, hashes in _unpacked(batch, width):
                 if bucket != at:
                     at, known, largest = bucket, _Smallest(), None
@@ -180,29 +264,43 @@ def _meet(width: int):
                     yes = there & (known.least[slot] < owner)
                 else:
                     yes = there & (largest[slot] > owner)
-                _bits(places, marks, counts, bucket, kind, yes, out)
-            if out:
-                yield pd.DataFrame(out, columns=["place", "mark", "bucket", "kind", "bits"])
+                hits.add_bits(places, marks, counts, bucket, kind, yes)
+                if hits.held > ANSWERS_AT:
+                    yield hits.by_part(parts)
+        yield hits.by_part(parts)
 
     return run
 
 
-def _hit_places(hashes: np.ndarray, buckets: int, answers: dict[int, bytes]) -> np.ndarray:
-    """Indexes of ``hashes`` whose bit is set in the answers by bucket."""
-    if not answers or not len(hashes):
+def _together(batches):
+    """Packed answers, sorted by part, to one row for each document."""
+    at, hits = None, _Hits()
+    for batch in batches:
+        for part, ids, codes, counts, spots in batch[["part", "ids", "codes", "counts", "spots"]].itertuples(index=False, name=None):
+            if part != at:
+                yield hits.by_document()
+                at, limit = part, 4 * ANSWERS_AT
+            places, marks = np.frombuffer(ids, np.int64).reshape(2, -1)
+            hits.add(places, marks, *(np.frombuffer(x, np.uint32) for x in (codes, counts, spots)))
+            if hits.held > limit:
+                hits.settle()
+                limit = 4 * ANSWERS_AT + 2 * hits.held
+    yield hits.by_document()
+
+
+def _hit_places(hashes: np.ndarray, buckets: int, answers: bytes | None, kind: int) -> np.ndarray:
+    """Indexes of ``hashes`` that the answers of this kind name."""
+    if answers is None or not len(hashes):
         return np.empty(0, np.int64)
+    cells = np.frombuffer(answers, np.uint32)
+    n = int(cells[0])
+    codes, counts = cells[1 : n + 1], cells[n + 1 : 2 * n + 1].astype(np.int64)
+    asked = (codes & 1) == kind - 1
+    spots = cells[2 * n + 1 :][np.repeat(asked, counts)].astype(np.int64)
     place = _bucket(hashes, buckets)
     order = np.argsort(place, kind="stable")
-    edges = np.searchsorted(place[order], np.arange(buckets + 1))
-    hits = []
-    for b, bits in answers.items():
-        mine = order[edges[b] : edges[b + 1]]
-        hits.append(mine[np.unpackbits(np.frombuffer(bits, np.uint8), count=len(mine)).astype(bool)])
-    return np.sort(np.concatenate(hits))
-
-
-def _answers(rows, kind: int) -> dict[int, bytes]:
-    return {} if rows is None else {r["bucket"]: r["bits"] for r in rows if r["kind"] == kind}
+    starts = np.searchsorted(place[order], (codes[asked] >> 1).astype(np.int64))
+    return np.sort(order[np.repeat(starts, counts[asked]) + spots])
 
 
 def _around(hits: np.ndarray, before: int, count: int) -> np.ndarray:
@@ -220,11 +318,10 @@ class _Reader:
 
     def __init__(self, window: int, buckets: int):
         self.window, self.block, self.buckets = window, (window + 1) // 2, buckets
-        self._words = Fingerprinter(1)
 
     def short(self, text: str) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
         words = ascii_words(text)
-        hashes = self._words.word_hashes(words)
+        hashes = pd.util.hash_array(np.array(words, dtype=object), categorize=False)
         rolling = _rolling(hashes, self.block)
         if len(words) < self.window:  # no whole window: nothing to remove, nothing to offer
             rolling = rolling[:0]
@@ -235,8 +332,8 @@ class _Reader:
         rolling, blocks, words, hashes = self.short(text)
         full = _rolling(hashes, self.window)
         reach = self.window - self.block
-        met = _hit_places(blocks, self.buckets, _answers(answers, 2)) * self.block
-        meets = _hit_places(rolling, self.buckets, _answers(answers, 1))
+        met = _hit_places(blocks, self.buckets, answers, 2) * self.block
+        meets = _hit_places(rolling, self.buckets, answers, 1)
         return full, _around(met, reach, len(full)), _around(meets, reach, len(full)), words
 
 
@@ -246,19 +343,21 @@ def _tasks(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), place.alias("place"), F.xxhash64(text).alias("mark"), text.alias("text"))
 
 
-def _met(packed: DataFrame, buckets: int, width: int) -> DataFrame:
-    parts = max(1, min(buckets, pieces_of(packed.sparkSession)))
-    dealt = packed.repartition(parts, "bucket").sortWithinPartitions("bucket", "kind")
-    answers = dealt.mapInPandas(_meet(width), ANSWER)
-    return answers.groupBy("place", "mark").agg(F.collect_set(F.struct("bucket", "kind", "bits")).alias("answers"))
+def _met(packed: DataFrame, buckets: int, parts: int, width: int) -> DataFrame:
+    """``place``, ``mark`` and ``answers`` of the documents with hits."""
+    pieces = pieces_of(packed.sparkSession)
+    dealt = packed.repartition(max(1, min(buckets, pieces)), "bucket").sortWithinPartitions("bucket", "kind")
+    answers = dealt.mapInPandas(_meet(width, parts), PACKED_ANSWERS)
+    return answers.repartition(max(1, min(parts, pieces)), "part").sortWithinPartitions("part").mapInPandas(_together, ANSWERS)
 
 
-def repeats(docs: DataFrame, window: int = WINDOW, per_bucket: int = PER_BUCKET) -> DataFrame:
+def repeats(docs: DataFrame, window: int = WINDOW, per_bucket: int = PER_BUCKET, per_part: int = PER_PART) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_removed``, ``kept`` (kept words joined by one space) and ``spans`` (start and end word
     of each maximal repeat) of every document."""
     rows = _tasks(docs)
     total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(1, math.ceil(total / 6 / per_bucket))  # about six characters to a word
+    parts = max(1, math.ceil(total / per_part))
 
     def probe(batches):
         reader = _Reader(window, buckets)
@@ -290,7 +389,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, per_bucket: int = PER_BUCKET)
                 starts = np.empty(0, np.int64)
                 if found is not None:
                     full, _, candidate, words = reader.whole(text, answers)
-                    starts = candidate[_hit_places(full[candidate], buckets, _answers(found, 1))]
+                    starts = candidate[_hit_places(full[candidate], buckets, found, 1)]
                 else:
                     words = ascii_words(text)
                 gone = np.zeros(len(words) + 1, np.int64)
@@ -302,11 +401,11 @@ def repeats(docs: DataFrame, window: int = WINDOW, per_bucket: int = PER_BUCKET)
                 out.append((doc_id, len(words), int(inside.sum()), kept, turn.reshape(-1, 2).tolist()))
             yield pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept", "spans"]).astype({"doc_id": "Int64"})
 
-    met = _met(rows.select("place", "mark", "text").mapInPandas(probe, PACKED), buckets, NARROW)
+    met = _met(rows.select("place", "mark", "text").mapInPandas(probe, PACKED), buckets, parts, NARROW)
     asked = rows.join(met, ["place", "mark"], "left")
     # The same columns as in the last step, so that the shuffle of the texts is used twice.
     with_hits = asked.filter("answers is not null").select("doc_id", "place", "mark", "text", "answers")
-    found = _met(with_hits.mapInPandas(extend, PACKED), buckets, WIDE).withColumnRenamed("answers", "found")
+    found = _met(with_hits.mapInPandas(extend, PACKED), buckets, parts, WIDE).withColumnRenamed("answers", "found")
     both = asked.join(found, ["place", "mark"], "left")
     return both.select("doc_id", "text", "answers", "found").mapInPandas(cut, "doc_id long, n_words long, n_removed long, kept string, spans array<array<int>>")
 

@@ -173,6 +173,25 @@ def test_repeats_equal_brute_force(spark, per_bucket):
         assert sum(b - a for a, b in g.spans) == g.n_removed and all(b - a >= 13 for a, b in g.spans)
 
 
+def test_answers_are_rows_by_part_and_not_by_document_and_bucket(spark):
+    r = random.Random(21)
+    passage = words(r, 200)
+    rows = [(i, " ".join(words(r, 30) + passage)) for i in range(300)]
+    table, made = docs(spark, *rows), {}
+    for buckets in (1, 64):
+        reader, packer = substrings._Reader(13, buckets), substrings._Packer(buckets, substrings.NARROW)
+        for i, text in rows:
+            rolling, blocks, _, _ = reader.short(text)
+            packer.add((i, i), {0: blocks, 1: rolling, 2: blocks})
+        packed = spark.createDataFrame(packer.rows(), substrings.PACKED).repartition(1).sortWithinPartitions("bucket", "kind")
+        answers = packed.mapInPandas(substrings._meet(substrings.NARROW, 3), substrings.PACKED_ANSWERS)
+        made[buckets] = answers.count()
+        assert substrings._met(packed, buckets, 3, substrings.NARROW).count() == len(rows)
+    assert made == {1: 3, 64: 3}
+    twice = substrings.repeats(table.unionByName(table), per_bucket=300, per_part=500)
+    assert sorted((g.doc_id, g.n_words, g.n_removed, g.kept) for g in twice.collect()) == removed_by_hand(rows + rows)
+
+
 def test_no_documents_no_repeats(spark):
     assert substrings.repeats(docs(spark).limit(0)).count() == 0
 
