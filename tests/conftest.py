@@ -17,3 +17,11 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture(autouse=True)
+def same_batches(request):
+    """A stage of the pipeline sets the session's Arrow batches; the next test starts with those it had."""
+    yield
+    if "spark" in request.fixturenames:
+        request.getfixturevalue("spark").conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
