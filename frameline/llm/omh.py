@@ -6,8 +6,8 @@ agrees only if the k-mers are shared and stand in the same order, which follows
 
 **Candidates.** Equal texts are one node from the start. Nodes that share a sketch form a bucket, and all pairs of a bucket
 are candidates. As only classes are asked for, a pair inside one class needs no comparison. So every node is first compared
-with one other, then with a second: the hub (the node that shares most sketches) of its largest, then of its smallest bucket
-that still holds several classes (a group of thousands of near copies costs one comparison each, not the square). Then the
+with at most two others: the hubs (the node that shares most sketches) of its largest and of its smallest bucket
+(a group of thousands of near copies costs two comparisons each, not the square). Then the
 rest is settled exactly: in buckets of at most ``SMALL`` nodes by all pairs across classes, in larger ones by those pairs
 across classes that pass a prefix filter. The filter loses no link: texts with a distance of at most a fifth have four
 fifths of the longer one's words in common, so if the words of each (with their occurrence numbers) are ordered by how many
@@ -19,8 +19,9 @@ that hold nearly the same words and are still in many classes keep the square of
 (similarity of 0.8 or more). The distance is computed on a diagonal band, bit-parallel, with a band that is widened until
 the distance fits or the limit is reached; a comparison of the word counts, a lower bound, goes first.
 
-**Classes** are the connected components of the links, by alternating large-star and small-star steps on tables in the
-shared folder. Nothing but counters reaches the driver.
+**Classes** are the connected components of the links: steps that join the neighbours of each node to their smallest one,
+on tables in the shared folder. Nothing but counters and a bitmap of at most 8 MB reaches the driver; the bitmap keeps texts that share no
+sketch out of the shuffle.
 
 Null text is empty; empty texts are copies of one another. Texts of fewer than five words have one k-mer. Repeated rows
 are copies. Null ids are kept; a class whose ids are all null has a null class. Other columns are ignored.
@@ -32,7 +33,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from frameline.llm.common import fresh, keep
@@ -43,6 +44,7 @@ SKETCHES = 24
 PICKED = 2
 SMALL = 8
 FIRST_BAND = 16
+BITMAP = 26
 SEED = 8128
 
 _LABEL = np.uint64(0x9E3779B97F4A7C15)
@@ -134,9 +136,12 @@ def alike(a: str, b: str) -> bool:
     if abs(len(left) - len(right)) > limit:
         return False
     count, other = Counter(left), Counter(right)
-    if max((count - other).total(), (other - count).total()) > limit:
+    least = max((count - other).total(), (other - count).total())
+    if least > limit:
         return False
     band = min(FIRST_BAND, limit)
+    while band < least:
+        band = min(4 * band, limit)
     while True:
         if banded_distance(left, right, band) is not None:
             return True
@@ -182,13 +187,14 @@ def _mixed(seated: DataFrame, labels: DataFrame | None) -> DataFrame:
     return keep(named.join(spread, "key", "left_semi"), "mixed")
 
 
-def hub_pairs(mixed: DataFrame, largest: bool) -> DataFrame:
-    """Every node with the hub of its largest or smallest bucket whose hub is of another class."""
+def hub_pairs(mixed: DataFrame, largest: bool | None = None) -> DataFrame:
+    """Every node with the hub of its largest or smallest bucket (None: of both) whose hub is of another class."""
     ranks = mixed.groupBy("node").agg(F.sum("n").alias("_rank"))
     hubs = mixed.join(ranks, "node").groupBy("key").agg(F.max_by(F.struct("node", "label"), F.struct("_rank", "node")).alias("_hub"))
     met = mixed.join(hubs, "key").filter("_hub.label != label")
-    chosen = met.groupBy("node").agg(F.max_by("_hub.node", F.struct(F.col("n") if largest else -F.col("n"), "key")).alias("y"))
-    return _ordered(chosen.select(F.col("node").alias("x"), "y"))
+    ends = [F.max_by("_hub.node", F.struct(F.col("n") if most else -F.col("n"), "key")) for most in (True, False) if largest in (most, None)]
+    chosen = met.groupBy("node").agg(F.array(*ends).alias("_hubs"))
+    return _ordered(chosen.select(F.col("node").alias("x"), F.explode("_hubs").alias("y")))
 
 
 def small_pairs(mixed: DataFrame, small: int = SMALL) -> DataFrame:
@@ -210,18 +216,26 @@ def word_lists(kept_texts: DataFrame) -> DataFrame:
     return kept_texts.select("node", "text").mapInPandas(run, "node long, words array<long>")
 
 
-def prefix_pairs(mixed: DataFrame, kept_texts: DataFrame, small: int = SMALL) -> DataFrame:
-    """All pairs across the classes of larger buckets that the prefix filter cannot rule out."""
+def prefixes(mixed: DataFrame, kept_texts: DataFrame, small: int = SMALL) -> DataFrame:
+    """The first fifth and one more of each list of words in larger buckets, as far as other texts hold them.
+
+    ``word``, ``node``, ``label``, ``keys``, ``len``, the whole prefix as ``list`` and ``left``, the words from this one on.
+    """
     many = mixed.filter(F.col("n") > small).groupBy("node", "label").agg(F.collect_set("key").alias("keys"))
-    lists = keep(word_lists(kept_texts.join(many.select("node"), "node", "left_semi")), "words")
-    dealt = lists.select("node", F.explode("words").alias("word"))
-    common = dealt.groupBy("word").agg(F.count(F.lit(1)).alias("held")).filter("held > 1")
+    lists = word_lists(kept_texts.join(many.select("node").hint("merge"), "node", "left_semi"))
+    dealt = lists.select("node", F.size("words").alias("len"), F.explode("words").alias("word"))
+    held = dealt.withColumn("held", F.count(F.lit(1)).over(Window.partitionBy("word")))
     # a word that no other text holds makes no pair, but comes first in the list
-    shared = dealt.join(common, "word").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("held", "word"))).alias("_list"))
-    sized = shared.join(lists.select("node", F.size("words").alias("len")), "node").withColumn("own", F.col("len") - F.size("_list"))
+    shared = held.filter("held > 1").groupBy("node", "len").agg(F.sort_array(F.collect_list(F.struct("held", "word"))).alias("_list"))
+    sized = shared.withColumn("own", F.col("len") - F.size("_list"))
     first = sized.withColumn("_list", F.slice("_list.word", F.lit(1), F.greatest(F.lit(0), F.floor(F.col("len") / 5).cast("int") + 1 - F.col("own"))))
     flat = first.join(many, "node").select("node", "label", "keys", "len", "own", F.col("_list").alias("list"), F.posexplode("_list").alias("at", "word"))
-    flat = keep(flat.withColumn("left", F.col("len") - F.col("own") - F.col("at")).drop("own", "at"), "prefixes")
+    return flat.withColumn("left", F.col("len") - F.col("own") - F.col("at")).drop("own", "at")
+
+
+def prefix_pairs(mixed: DataFrame, kept_texts: DataFrame, small: int = SMALL) -> DataFrame:
+    """All pairs across the classes of larger buckets that the prefix filter cannot rule out."""
+    flat = keep(prefixes(mixed, kept_texts, small), "prefixes")
     left, right = (flat.select("word", *[F.col(c).alias(f"{c}{i}") for c in ("node", "label", "keys", "len", "list", "left")]) for i in (1, 2))
     longer = F.greatest("len1", "len2")
     fits = F.least("left1", "left2") >= longer - F.floor(longer / 5)
@@ -231,9 +245,9 @@ def prefix_pairs(mixed: DataFrame, kept_texts: DataFrame, small: int = SMALL) ->
 
 
 def verified(pairs: DataFrame, kept_texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose texts are alike. ``kept_texts``: node, text."""
-    with_b = pairs.join(kept_texts.select(F.col("node").alias("b"), F.col("text").alias("_tb")), "b")
-    both = with_b.join(kept_texts.select(F.col("node").alias("a"), F.col("text").alias("_ta")), "a").select("a", "b", "_ta", "_tb")
+    """The pairs (a, b) whose texts are alike. ``kept_texts``: node, text. No side is small enough to broadcast for long."""
+    with_b = pairs.hint("merge").join(kept_texts.select(F.col("node").alias("b"), F.col("text").alias("_tb")), "b")
+    both = with_b.hint("merge").join(kept_texts.select(F.col("node").alias("a"), F.col("text").alias("_ta")), "a").select("a", "b", "_ta", "_tb")
 
     def run(batches):
         for batch in batches:
@@ -243,34 +257,52 @@ def verified(pairs: DataFrame, kept_texts: DataFrame) -> DataFrame:
     return both.mapInPandas(run, "a long, b long")
 
 
-def _mark(edges: DataFrame):
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
+def _stars(edges: DataFrame) -> DataFrame:
+    """One step of :func:`components`: every node and its neighbours get an edge to the smallest of them.
+
+    ``a`` (smallest), ``b``, ``own`` (the edge of the node itself, at most one), ``new`` (it was not among the node's edges).
+    """
+    both = edges.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(edges.select(F.col("b").alias("x"), F.col("a").alias("y")))
+    near = Window.partitionBy("x").orderBy("y")
+    seen = both.filter("x != y").select("x", "y", F.least("x", F.first("y").over(near)).alias("a"), F.lag("y").over(near).alias("_last"))
+    own = F.col("y") == F.col("a")
+    return seen.filter("_last IS NULL OR _last != y").select("a", F.when(own, F.col("x")).otherwise(F.col("y")).alias("b"), own.alias("own"), (~own & (F.col("a") != F.col("x"))).alias("new"))
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``node``, ``label`` (smallest node of its component) for every node of ``edges`` (a, b)."""
-    edges = keep(_ordered(edges.select(F.col("a").alias("x"), F.col("b").alias("y")).filter("x != y")), "edges")
-    before = _mark(edges)
+    """``node``, ``label`` (smallest node of its component) for every node of ``edges`` (a, b).
+
+    With each step a node meets the smallest of its neighbours' neighbours at least. A step makes no new edge only if every node
+    is either smaller than all its neighbours or has one neighbour, a smaller one.
+    """
     while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("_m")).select("a", F.least("a", "_m").alias("_m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("_m").alias("a"), "b").distinct()
-        # every b now has edges to smaller nodes only; join them all to the smallest
-        low = large.groupBy("b").agg(F.min("a").alias("_m"))
-        met = large.join(low, "b")
-        small = met.select(F.col("_m").alias("a"), "b").unionByName(met.filter("a != _m").select(F.col("_m").alias("a"), F.col("a").alias("b")))
-        edges = keep(small.distinct(), "edges")
-        now = _mark(edges)
-        if now == before:
-            break
-        before = now
-    return edges.select(F.col("b").alias("node"), F.col("a").alias("label")).unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct())
+        edges = keep(_stars(edges), "edges")
+        if not edges.agg(F.max("new")).first()[0]:
+            return edges.filter("own").select(F.col("b").alias("node"), F.col("a").alias("label")).unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("label")).distinct())
+
+
+def _marked(asked: DataFrame):
+    """A test whether a node may be among ``asked``: a bitmap of its lowest bits (16 a node, 2^``BITMAP`` at most)."""
+    spark = asked.sparkSession
+    bits = min(BITMAP, max(16, (16 * asked.count()).bit_length()))
+    place = F.col("node").bitwiseAND(F.lit((1 << bits) - 1))
+    slots = asked.groupBy(F.shiftright(place, 6).alias("slot")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(node & 63 AS INT))")).alias("bits")).toArrow()
+    table = np.zeros(1 << (bits - 6), np.int64)
+    table[slots["slot"].to_numpy()] = slots["bits"].to_numpy()
+    sent = spark.sparkContext.broadcast(table)
+
+    @F.pandas_udf("boolean")
+    def may_be(node: pd.Series) -> pd.Series:
+        at = node.to_numpy() & ((1 << bits) - 1)
+        return pd.Series((sent.value[at >> 6] >> (at & 63)) & 1 == 1)
+
+    return may_be
 
 
 def _chosen_texts(rows: DataFrame, seated: DataFrame) -> DataFrame:
-    """One text for each node of a bucket; texts of no bucket go first, copies are reduced before the shuffle."""
-    asked = keep(seated.select("node").distinct(), "asked")
-    return keep(rows.select("node", "text").join(asked, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")), "texts")
+    """One text for each node of a bucket and for few others; most texts of no bucket and copies in a task are left out before the shuffle."""
+    may_be = _marked(seated.select("node").distinct())
+    return keep(rows.select("node", "text").filter(may_be("node")).groupBy("node").agg(F.first("text").alias("text")), "texts")
 
 
 def near_classes(docs: DataFrame, small: int = SMALL) -> DataFrame:
@@ -280,8 +312,8 @@ def near_classes(docs: DataFrame, small: int = SMALL) -> DataFrame:
     seated = keep(buckets(one), "buckets")
     known = _chosen_texts(rows, seated)
     rest = lambda mixed: small_pairs(mixed, small).unionByName(prefix_pairs(mixed, known, small)).distinct()
-    done, edges, labels = None, None, None
-    for pairs_of in (lambda mixed: hub_pairs(mixed, True), lambda mixed: hub_pairs(mixed, False), rest):
+    done, labels = None, None
+    for pairs_of in (hub_pairs, rest):
         mixed = _mixed(seated, labels)
         if mixed.isEmpty():
             break
@@ -289,8 +321,7 @@ def near_classes(docs: DataFrame, small: int = SMALL) -> DataFrame:
         pairs = keep(pairs if done is None else pairs.join(done, ["a", "b"], "left_anti"), "pairs")
         done = pairs if done is None else done.unionByName(pairs)
         added = keep(verified(pairs, known), "links")
-        edges = added if edges is None else edges.unionByName(added)
-        labels = components(edges)
+        labels = components(added if labels is None else added.unionByName(labels.select(F.col("label").alias("a"), F.col("node").alias("b"))))
     named = rows.select("doc_id", "node")
     named = named.withColumn("label", F.col("node")) if labels is None else named.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     named = keep(named, "members")

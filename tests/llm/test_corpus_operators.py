@@ -127,6 +127,48 @@ def test_pairs_of_a_shared_passage_do_not_grow_with_the_square(spark):
     assert all(stars <= n and rest <= n for n, (stars, rest) in made.items())
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_words_of_large_buckets_meet_no_join(spark):
+    """Words are counted by a window: prefixes join by node alone, and hold the rarest words that two texts have."""
+    r = random.Random(8)
+    passage = words(r, 40)
+    table = docs(spark, *[(i, " ".join(words(r, 8, 10**6) + passage + ["own", "pair"][: i % 2 + 1])) for i in range(12)])
+    texts = omh.nodes(table)
+    seated = omh.buckets(omh.sketches(texts)).withColumn("label", F.col("node"))
+    found = omh.prefixes(seated, texts, 2)
+    joins = re.findall(r"(?:SortMerge|BroadcastHash|ShuffledHash)Join \[(\w+)#", plan(found))
+    assert joins and "word" not in joins
+    nodes = {x.node: len(x.text.split()) for x in texts.collect()}
+    rows = found.collect()
+    assert {x.node for x in rows} == {x.node for x in seated.filter("n > 2").select("node").distinct().collect()}
+    for x in rows:  # eight words of its own come first and are left out
+        assert x.len == nodes[x.node] and len(x.list) == x.len // 5 + 1 - 8 and x.left == x.len - 8 - x.list.index(x.word)
+
+
+def test_components_of_chains_stars_and_copies(spark):
+    r = random.Random(4)
+    edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(159, 160), (7, 7), (300, 200), (200, 300), (-5, 400)]
+    names = {i: r.getrandbits(62) - 2**61 for e in edges for i in e}
+    got = omh.components(spark.createDataFrame([(names[a], names[b]) for a, b in edges * 2], "a long, b long")).collect()
+    groups = [range(41), range(100, 161), (200, 300), (-5, 400)]
+    assert sorted((x.node, x.label) for x in got) == sorted((names[i], min(names[j] for j in g)) for g in groups for i in g)
+    step = omh._stars(spark.createDataFrame([(names[a], names[b]) for a, b in edges], "a long, b long"))
+    assert "Join" not in plan(step) and step.count() <= 2 * len(edges)
+
+
+def test_texts_of_no_bucket_stay_out_of_the_shuffle(spark):
+    r = random.Random(6)
+    rows = omh.nodes(docs(spark, *[(i, " ".join(words(r, 12))) for i in range(3000)]))
+    asked = rows.filter("doc_id < 100").select("node")
+    may_be = omh._marked(asked)
+    assert rows.filter("doc_id < 100").filter(may_be("node")).count() == 100
+    assert rows.filter(may_be("node")).count() < 130
+    assert "BroadcastHashJoin" not in plan(omh.verified(spark.createDataFrame([(1, 2)], "a long, b long"), rows))
+
+
 def test_one_row_of_each_class_stays(spark):
     base = " ".join(f"w{i}" for i in range(50))
     table = docs(spark, (5, base), (3, base + " x"), (3, base + " x"), (9, None), (8, ""), (None, "q r s"), (None, "q r s"), (2, "b"))
